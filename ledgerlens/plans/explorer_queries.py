@@ -1 +1,80 @@
-"""Queries."""
+"""Search, paging and count queries."""
+
+from ledgerlens.operators import explorer
+from ledgerlens.operators.filters import Filters
+from ledgerlens.plans.registry import cube, query, serving
+from ledgerlens.plans.sql_views import CUBE, SERVING
+
+_COLUMNS = ", ".join(explorer.RESULT_COLUMNS)
+_RISKY = Filters(risk_level=("Tinggi", "Kritis"), jenis_tujuan=("Nasabah",), status_kuras=("Terkuras Habis",))
+_RISKY_SQL = "risk_level IN ('Tinggi', 'Kritis') AND jenis_tujuan = 'Nasabah' AND status_kuras = 'Terkuras Habis'"
+
+
+@query("search_transactions", SERVING + f"SELECT {_COLUMNS} FROM serving ORDER BY risk_score DESC, transaction_id LIMIT 25")
+def search_transactions(spark, folder):
+    return explorer.search_transactions(serving(spark, folder))
+
+
+@query("search_transactions_page_3", SERVING + f"SELECT {_COLUMNS} FROM serving WHERE {_RISKY_SQL} ORDER BY amount, transaction_id LIMIT 25 OFFSET 50")
+def search_transactions_page_3(spark, folder):
+    return explorer.search_transactions(serving(spark, folder), _RISKY, "amount", "asc", page=3)
+
+
+def _register_search(name: str, text: str, where: str) -> None:
+    @query(name, SERVING + f"SELECT transaction_id, risk_score, anomaly_reason FROM serving WHERE {where}")
+    def search(spark, folder):
+        return explorer.filter_rows(serving(spark, folder), Filters(search=text)).select("transaction_id", "risk_score", "anomaly_reason")
+
+
+for _name, _text, _where in (
+    ("search_mode", "saldo", "flag_BalanceMismatch"),
+    ("search_mode_exact_id", "TX00000010", "transaction_id = 'TX00000010'"),
+    ("search_mode_long_id", "tx0000001099", "transaction_id = 'TX00000010'"),
+    ("search_mode_id_prefix", "TX0001", "transaction_id LIKE 'TX0001%'"),
+    ("search_mode_short_prefix", "T0000", "transaction_id LIKE 'TX0000%'"),
+    ("search_mode_method_word", " HDBSCAN ", "flag_HDBSCAN"),
+    ("search_mode_free_text", "drained", "transaction_id ILIKE '%drained%' OR anomaly_reason ILIKE '%drained%'"),
+):
+    _register_search(_name, _text, _where)
+
+
+@query("capped_count", SERVING + "SELECT count(*) AS n FROM (SELECT 1 FROM serving WHERE anomaly_reason ILIKE '%balance mismatch%' LIMIT 50001)")
+def capped_count(spark, folder):
+    return explorer.capped_count(serving(spark, folder), Filters(search="balance mismatch"))
+
+
+@query("count_routing", CUBE + f"SELECT sum(n)::BIGINT AS n, 'cube' AS source FROM cube WHERE {_RISKY_SQL}")
+def count_routing(spark, folder):
+    return explorer.count_routing(serving(spark, folder), cube(spark, folder), _RISKY)
+
+
+@query("count_routing_exact_id", SERVING + "SELECT count(*) AS n, 'rows' AS source FROM serving WHERE transaction_id = 'TX00000010'")
+def count_routing_exact_id(spark, folder):
+    return explorer.count_routing(serving(spark, folder), cube(spark, folder), Filters(search="TX00000010"))
+
+
+@query("count_routing_amount", SERVING + "SELECT count(*) AS n, 'capped' AS source FROM (SELECT 1 FROM serving WHERE amount >= 300000 LIMIT 50001)")
+def count_routing_amount(spark, folder):
+    return explorer.count_routing(serving(spark, folder), cube(spark, folder), Filters(amount_min=300_000))
+
+
+@query(
+    "token_search",
+    SERVING
+    + "SELECT transaction_id, anomaly_reason FROM serving WHERE list_has_any(string_split_regex(lower(anomaly_reason), '\\W+'), ['forest', 'drained']) "
+    "OR transaction_id = 'Forest, drained'",
+)
+
+
+def token_search(spark, folder):
+    return explorer.token_search(serving(spark, folder), "Forest, drained").select("transaction_id", "anomaly_reason")
+
+
+@query(
+    "page_bounds",
+    SERVING + "SELECT n, greatest(1, CAST(ceil(least(n, 50000) / 25) AS BIGINT)) AS max_page FROM (SELECT count(*) AS n FROM (SELECT 1 FROM serving WHERE flag_IsoForest LIMIT 50001))",
+)
+
+
+def page_bounds(spark, folder):
+    return explorer.page_bounds(explorer.capped_count(serving(spark, folder), Filters(search="isolation")))
