@@ -1,8 +1,8 @@
 """Exact quantiles without gathering a whole column in one task.
 
-``percentile`` keeps every distinct value of a column in the final reducer. That is fine
-for a few hundred thousand values and impossible for a cluster-sized column, so larger
-inputs are narrowed first: each pass over the (pruned) columns counts rows around a
+Reading exact ranks off a sorted column in one task is fine for a few hundred thousand
+values and impossible for a cluster-sized column, so larger inputs are narrowed first:
+each pass over the (pruned) columns counts rows around a
 bracket of two values and sketches what lies between them; only when few enough values
 remain are those gathered and sorted. Counts decide, the sketch only proposes, so the
 result does not depend on sketch accuracy.
@@ -18,9 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIRECT_ROWS = 200_000
-GRID_STEPS = 500
-SKETCH_ACCURACY = 10_000
-_GRID = [i / GRID_STEPS for i in range(GRID_STEPS + 1)]
+GRID_STEPS = 250
+SKETCH_ACCURACY = 5_000
 
 ColumnSpec = Sequence[str] | Mapping[str, Column]
 
@@ -76,6 +75,7 @@ def _around(grid: Sequence[float], local_rank: int, rows: int, low: float, high:
 def _narrow(values: DataFrame, pending: list[_Rank], direct_rows: int) -> None:
     """One pass: verify every proposal and either settle it or propose a tighter one."""
     brackets = sorted({(r.column, *r.proposal) for r in pending})
+    grid = F.expr(f"array({', '.join(f'{i / GRID_STEPS}D' for i in range(GRID_STEPS + 1))})")
     aggs = []
     for i, (name, low, high) in enumerate(brackets):
         x = F.col(f"`{name}`")
@@ -85,7 +85,7 @@ def _narrow(values: DataFrame, pending: list[_Rank], direct_rows: int) -> None:
             F.count(F.when(x <= low, 1)).alias(f"le_low_{i}"),
             F.count(F.when(x < high, 1)).alias(f"lt_high_{i}"),
             F.count(F.when(x <= high, 1)).alias(f"le_high_{i}"),
-            F.percentile_approx(inside, _GRID, SKETCH_ACCURACY).alias(f"grid_{i}"),
+            F.percentile_approx(inside, grid, F.lit(SKETCH_ACCURACY)).alias(f"grid_{i}"),
         ]
     seen = values.agg(*aggs).first()
     position = {bracket: i for i, bracket in enumerate(brackets)}
@@ -114,17 +114,38 @@ def _gather(values: DataFrame, targets: list[_Rank]) -> None:
     """Sort the few values left inside each settled bracket and read the ranks off."""
     brackets = sorted({(t.column, t.low, t.high) for t in targets})
     wanted = {b: sorted({t.local_rank for t in targets if (t.column, t.low, t.high) == b}) for b in brackets}
-    aggs = []
-    for i, (name, low, high) in enumerate(brackets):
+    lists, picks = [], []
+    for i, bracket in enumerate(brackets):
+        name, low, high = bracket
         x = F.col(f"`{name}`")
-        ordered = F.array_sort(F.collect_list(F.when((x > low) & (x < high), x)))
-        aggs.append(F.array(*[F.get(ordered, F.lit(r)) for r in wanted[(name, low, high)]]).alias(f"v{i}"))
-    row = values.agg(*aggs).first()
+        lists.append(F.sort_array(F.collect_list(F.when((x > low) & (x < high), x))).alias(f"s{i}"))
+        picks.append(F.array(*[F.get(f"s{i}", F.lit(r)) for r in wanted[bracket]]).alias(f"v{i}"))
+    row = values.agg(*lists).select(*picks).first()
     for target in targets:
         bracket = (target.column, target.low, target.high)
         target.value = row[f"v{brackets.index(bracket)}"][wanted[bracket].index(target.local_rank)]
 
 
+def _gather_all(values: DataFrame, targets: list[_Rank]) -> None:
+    """Read ranks off whole columns that are short enough to sort in one task."""
+    wanted: dict[str, list[int]] = {}
+    for target in targets:
+        wanted.setdefault(target.column, []).append(target.rank)
+    names = list(wanted)
+    ordered = values.agg(*[F.sort_array(F.collect_list(f"`{n}`")).alias(f"s{i}") for i, n in enumerate(names)])
+    row = ordered.select(
+        *[F.array(*[F.get(f"s{i}", F.lit(r)) for r in wanted[n]]).alias(f"v{i}") for i, n in enumerate(names)]
+    ).first()
+    for target in targets:
+        target.value = row[f"v{names.index(target.column)}"][wanted[target.column].index(target.rank)]
+
+
+def _rank_pair(p: float, count: int) -> tuple[int, int]:
+    """The two neighbouring ranks a quantile is interpolated between."""
+    h = (count - 1) * p
+    return math.floor(h), math.ceil(h)
+
+
 def _settle(values: DataFrame, targets: list[_Rank], direct_rows: int) -> None:
     while True:
         pending = [t for t in targets if t.value is None and t.local_rank is None]
@@ -145,7 +166,7 @@ def numeric_profile(
     """Moments and exact linear-interpolated quantiles of several columns at once.
 
     Two passes for inputs of up to ``direct_rows`` values; larger ones take one more pass
-    for each factor of about two hundred.
+    for each factor of about a hundred.
     """
     values, names = _as_doubles(df, columns)
     aggs = []
@@ -160,28 +181,23 @@ def numeric_profile(
             F.max(x).alias(f"max{i}"),
         ]
     base = values.agg(*aggs).first()
+    counts = {n: base[f"n{i}"] for i, n in enumerate(names)}
     quantiles: dict[str, dict[float, float | None]] = {n: {p: None for p in probs} for n in names}
-    small = [n for i, n in enumerate(names) if probs and 0 < base[f"n{i}"] <= direct_rows]
-    large = [(i, n) for i, n in enumerate(names) if probs and base[f"n{i}"] > direct_rows]
+    targets = []
+    for i, name in enumerate(names):
+        bounds = (base[f"min{i}"], base[f"max{i}"])
+        ranks = {r for p in probs for r in _rank_pair(p, counts[name])} if counts[name] else ()
+        targets += [_Rank(name, rank, *bounds, proposal=bounds) for rank in ranks]
+    small = [t for t in targets if counts[t.column] <= direct_rows]
     if small:
-        row = values.agg(*[F.percentile(f"`{n}`", list(probs)).alias(f"q{i}") for i, n in enumerate(small)]).first()
-        for i, name in enumerate(small):
-            quantiles[name] = dict(zip(probs, row[f"q{i}"]))
-    if large:
-        targets = []
-        for i, name in large:
-            bounds = (base[f"min{i}"], base[f"max{i}"])
-            for p in probs:
-                h = (base[f"n{i}"] - 1) * p
-                for rank in {math.floor(h), math.ceil(h)}:
-                    targets.append(_Rank(name, rank, *bounds, proposal=bounds))
-        _settle(values, targets, direct_rows)
-        found = {(t.column, t.rank): t.value for t in targets}
-        for i, name in large:
-            for p in probs:
-                h = (base[f"n{i}"] - 1) * p
-                a, b = found[(name, math.floor(h))], found[(name, math.ceil(h))]
-                quantiles[name][p] = a + (b - a) * (h - math.floor(h))
+        _gather_all(values, small)
+    _settle(values, targets, direct_rows)
+    found = {(t.column, t.rank): t.value for t in targets}
+    for name in names:
+        for p in probs if counts[name] else ():
+            low, high = _rank_pair(p, counts[name])
+            a, b = found[(name, low)], found[(name, high)]
+            quantiles[name][p] = a + (b - a) * ((counts[name] - 1) * p - low)
     return {
         n: NumericProfile(
             base[f"n{i}"], base[f"mean{i}"], base[f"sd{i}"], base[f"sdp{i}"], base[f"min{i}"], base[f"max{i}"], quantiles[n]

@@ -95,9 +95,11 @@ def model_input(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
 
 
 def lookup(value: Column, table: Mapping[str, str]) -> Column:
-    """Translate through a literal map; unknown values pass through."""
-    pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.coalesce(pairs[value], value)
+    """Translate through a small literal table; unknown values pass through."""
+    chain = None
+    for known, label in table.items():
+        chain = F.when(value == known, label) if chain is None else chain.when(value == known, label)
+    return chain.otherwise(value)
 
 
 def derive_dest_type(flag: Column) -> Column:

@@ -132,7 +132,7 @@ def category_summary(spark, folder):
 _PROFILE = CUBE + """, p AS (SELECT cluster_kmeans, sum(n)::BIGINT AS total, coalesce(sum(n) FILTER (WHERE isFraud), 0)::BIGINT AS fraud,
  coalesce(sum(n) FILTER (WHERE high_risk), 0)::BIGINT AS high_risk, coalesce(sum(n) FILTER (WHERE jenis_tujuan = 'Merchant'), 0)::BIGINT AS to_merchant,
  coalesce(sum(n) FILTER (WHERE status_kuras = 'Terkuras Habis'), 0)::BIGINT AS drained FROM cube GROUP BY 1),
-d AS (SELECT cluster_kmeans, transaction_type, sum(n) AS n FROM cube GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY cluster_kmeans ORDER BY sum(n) DESC, transaction_type) = 1)
+d AS (SELECT cluster_kmeans, transaction_type, sum(n) AS n FROM cube GROUP BY cluster_kmeans, transaction_type QUALIFY row_number() OVER (PARTITION BY cluster_kmeans ORDER BY sum(n) DESC, transaction_type) = 1)
 SELECT p.*, round(fraud / total, 8) AS fraud_rate, round(high_risk / total, 8) AS high_risk_rate, round(to_merchant / total, 8) AS merchant_share,
  round(drained / total, 8) AS drained_share, transaction_type AS dominant_type, round(n / total, 8) AS dominant_type_share FROM p JOIN d USING (cluster_kmeans)"""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import cube as cubes
 from ledgerlens.operators import risk, rule_views, rules
 from ledgerlens.operators.cleaning import standardize_schema
+from ledgerlens.session import tune
 from ledgerlens.sources import ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, folder: function(tune(spark), folder)
         if sql is not None:
             STATEMENTS[name] = sql
         return function

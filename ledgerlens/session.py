@@ -13,6 +13,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+JIT_BYTECODE_LIMIT = 8_000
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Keep generated code within what the JVM compiles.
+
+    Wide chains of labels generate methods beyond 8000 bytes of bytecode, which HotSpot
+    only interprets. With the limit lowered, such a stage is generated operator by
+    operator in smaller methods, which measured more than twice as fast here.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_BYTECODE_LIMIT)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; a temporary one only in local mode."""
     context = spark.sparkContext
