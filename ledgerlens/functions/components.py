@@ -19,17 +19,17 @@ def _smallest_neighbour(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("size"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, count: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    linked = join_by_key(both, _smallest_neighbour(both), ["u"], "size", "inner")
+    linked = join_by_key(both, _smallest_neighbour(both), ["u"], "size", "inner", total=2 * count)
     return linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, count: int) -> DataFrame:
     downward = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()
-    linked = join_by_key(downward, _smallest_neighbour(downward), ["u"], "size", "inner")
-    parents = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-    return parents.unionByName(linked.select("u", F.col("m").alias("v"))).distinct()
+    linked = join_by_key(downward, _smallest_neighbour(downward), ["u"], "size", "inner", total=2 * count)
+    links = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
+    return linked.select(F.inline(links)).filter("u != v").distinct()
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -41,7 +41,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     stars = cut_lineage(edges.select("u", "v").filter("u != v").distinct())
     seen = _fingerprint(stars)
     for _ in range(max_rounds):
-        stars = cut_lineage(_small_star(cut_lineage(_large_star(stars))))
+        stars = cut_lineage(_small_star(_large_star(stars, seen[0]), seen[0]))
         now = _fingerprint(stars)
         if now == seen:
             break

@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import pin_layout
 
 _WITHIN_PARTITION = (1 << 33) - 1
 
@@ -21,7 +21,7 @@ def with_global_index(df: DataFrame, *order: str | Column, name: str = "row_inde
     the driver.
     """
     spark = df.sparkSession
-    laid_out = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    laid_out = pin_layout(df.repartitionByRange(*order).sortWithinPartitions(*order))
     placed = laid_out.withColumns(
         {"_part": F.spark_partition_id(), name: F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN_PARTITION))}
     )

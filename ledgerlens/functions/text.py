@@ -52,7 +52,7 @@ def format_multiplier(value: Column) -> Column:
 
 def humanize_items(joined: Column) -> Column:
     """Comma-joined items -> their labels joined by DAN; a dash for no items."""
-    items = F.filter(F.transform(F.split(joined, ","), F.trim), lambda i: i != "")
+    items = F.filter(F.transform(F.split(joined, ","), lambda i: F.trim(i)), lambda i: i != "")
     labels = _literal_map(fixed.ITEM_LABELS)
     named = F.transform(items, lambda i: F.coalesce(labels[i], F.replace(i, F.lit("_"), F.lit(" "))))
     return F.when(F.size(named) > 0, F.array_join(named, " DAN ")).otherwise("-")

@@ -151,7 +151,7 @@ def _strongest(rules: DataFrame, n: int) -> DataFrame:
 
 
 def _atoms(column: str) -> Column:
-    return F.filter(F.transform(F.split(column, ","), F.trim), lambda a: a != "")
+    return F.filter(F.transform(F.split(column, ","), lambda a: F.trim(a)), lambda a: a != "")
 
 
 def rule_graph_edges(rules: DataFrame, max_rules: int = 25) -> DataFrame:

@@ -210,8 +210,9 @@ def association_rules(itemsets: DataFrame, total: int, min_confidence: float = 0
 
 
 def mine(collapsed: DataFrame, min_support: float = 0.005, max_len: int = 3, min_confidence: float = 0.5, min_lift: float = 1.2) -> DataFrame:
-    itemsets = frequent_itemsets(collapsed, min_support, max_len)
-    return association_rules(itemsets, basket_total(collapsed), min_confidence, min_lift)
+    """Itemsets and rules of a support level. Both are small and used several times, so both are stored."""
+    itemsets = cut_lineage(frequent_itemsets(collapsed, min_support, max_len))
+    return cut_lineage(association_rules(itemsets, basket_total(collapsed), min_confidence, min_lift))
 
 
 def mentions(column: str, words: Sequence[str]) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -24,6 +25,9 @@ from ledgerlens.operators.filters import Filters, all_of
 from ledgerlens.session import cut_lineage
 
 
+PARALLEL_RUNS = 8
+
+
 @dataclass(frozen=True)
 class KMeansFit:
     """Centres in lexicographic order, so that labels do not depend on the run, and the cost."""
@@ -33,23 +37,61 @@ class KMeansFit:
     cost: float
 
 
-def fit_kmeans(df: DataFrame, features: Features, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 100, weight: str | None = None) -> KMeansFit:
-    """Best of several k-means runs from parallel k-means++ starts."""
+def _train(points: DataFrame, k: int, seeds: Sequence[int], max_iter: int, weighted: bool) -> tuple[float, list[list[float]]]:
+    """Best of several runs, trained side by side: the scheduler interleaves their jobs."""
+
+    def one(seed: int) -> tuple[float, list[list[float]]]:
+        estimator = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||")
+        model = (estimator.setWeightCol("weight") if weighted else estimator).fit(points)
+        return model.summary.trainingCost, sorted(c.tolist() for c in model.clusterCenters())
+
+    with ThreadPool(min(len(seeds), PARALLEL_RUNS)) as pool:
+        return min(pool.map(inheritable_thread_target(one), seeds))
+
+
+def _lloyd_pass(df: DataFrame, features: Features, centres: list[list[float]]) -> tuple[float, list[list[float]]]:
+    """Assign every row, return the cost and the mean of each cluster's rows: one small aggregation."""
+    found = nearest(features, centres)
+    dims = width_of(df, features)
+    values = [F.get(F.col(features), F.lit(i)) if isinstance(features, str) else F.col(features[i]) for i in range(dims)]
+    assigned = df.select(found.alias("found"), *[v.cast("double").alias(f"x{i}") for i, v in enumerate(values)])
+    rows = assigned.groupBy("found.id").agg(
+        F.sum("found.distance").alias("cost"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(dims)]
+    ).collect()
+    moved = [list(c) for c in centres]
+    for r in rows:
+        moved[r["id"]] = [r[f"m{i}"] for i in range(dims)]
+    return sum(r["cost"] for r in rows), moved
+
+
+def fit_kmeans(
+    df: DataFrame, features: Features, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 100,
+    weight: str | None = None, fit_rows: int = 2_000_000, tolerance: float = 1e-4,
+) -> KMeansFit:
+    """Best of several k-means runs, always settled on all rows.
+
+    Runs compete on all rows of a table of up to ``fit_rows``. On a larger one they
+    compete on a uniform sample of that size; the winner is then refined by passes over
+    the whole table until no centre moves, instead of paying every run's passes there.
+    """
+    total = df.count()
+    sampled = total > fit_rows and not weight
+    source = df.sample(fraction=fit_rows / total, seed=seed) if sampled else df
     columns = [array_to_vector(vector(features)).alias("features")]
     if weight:
         columns.append(F.col(weight).cast("double").alias("weight"))
-    points = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    points = source.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best = None
-        for restart in range(restarts):
-            estimator = KMeans(k=k, seed=seed + restart, maxIter=max_iter, initMode="k-means||")
-            model = (estimator.setWeightCol("weight") if weight else estimator).fit(points)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model.clusterCenters())
+        cost, centres = _train(points, k, range(seed, seed + restarts), max_iter, bool(weight))
     finally:
         points.unpersist()
-    return KMeansFit(features, sorted(c.tolist() for c in best[1]), best[0])
+    for _ in range(max_iter if sampled else 0):
+        cost, moved = _lloyd_pass(df, features, centres)
+        shift = max(math.dist(a, b) for a, b in zip(centres, moved))
+        centres = moved
+        if shift <= tolerance:
+            break
+    return KMeansFit(features, sorted(centres), cost)
 
 
 def nearest_centroid_assign(df: DataFrame, features: Features, centres: Sequence[Sequence[float]], name: str = "cluster") -> DataFrame:

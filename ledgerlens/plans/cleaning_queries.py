@@ -69,13 +69,14 @@ _ROBUST = ", ".join(
 
 @query(
     "robust_scale",
-    _LOGGED + f", p AS (SELECT {_ROBUST} FROM logged) SELECT transaction_id, " + ", ".join(f"round(({c} - m_{c}) / r_{c}, 6) AS {c}" for c in SCALED) + " FROM logged, p",
+    _LOGGED + f", p AS (SELECT {_ROBUST} FROM logged) SELECT transaction_id, " + ", ".join(f"round(({c} - m_{c}) / r_{c}, 6) + 0.0 AS {c}" for c in SCALED) + " FROM logged, p",
 )
 
 
 def robust_scale(spark, folder):
     logged = cleaning.log1p_cols(scoring_input(spark, folder)).select("transaction_id", *SCALED)
-    return rounded(cleaning.scale(logged, cleaning.robust_scale_fit(logged)), 6, *SCALED)
+    scaled = rounded(cleaning.scale(logged, cleaning.robust_scale_fit(logged)), 6, *SCALED)
+    return scaled.withColumns({c: F.col(c) + F.lit(0.0) for c in SCALED})  # no negative zeros
 
 
 @query(

@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cluster_eval, segments
+from ledgerlens.operators.cleaning import inverse_one_hot
 from ledgerlens.operators.filters import Filters
 from ledgerlens.plans.registry import MODEL_FEATURES, query, rounded, serving
 from ledgerlens.plans.sql_views import SCORED_IN
 from ledgerlens.plans.stages import prepared
-from ledgerlens.session import cut_lineage
 from ledgerlens.sources.ledger import scoring_input, table
 
 _VECTORS = """WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -94,17 +94,19 @@ def macro_cluster(spark, folder):
     return segments.macro_cluster(rows, MODEL_FEATURES).select("transaction_id", "cluster_birch")
 
 
+CELL_THRESHOLD = 1.5
+
+
 @query("density_cluster_centres")
 def density_cluster_centres(spark, folder):
-    rows = cut_lineage(_logged(spark, folder))
-    found = segments.density_cluster_centres(rows, CELL_FEATURES, min_samples=5)
+    found = segments.density_cluster_centres(prepared(spark, folder), MODEL_FEATURES, CELL_THRESHOLD)
     return found.select("transaction_id", "cluster_birch_hdbscan")
 
 
 @query("density_cluster_sample_predict")
 def density_cluster_sample_predict(spark, folder):
-    rows = cut_lineage(_logged(spark, folder))
-    found = segments.density_cluster_sample_predict(rows, CELL_FEATURES, "type", ["transaction_id"], 10_000, min_samples=5)
+    rows = inverse_one_hot(prepared(spark, folder), "type_", "type")
+    found = segments.density_cluster_sample_predict(rows, MODEL_FEATURES, "type", ["transaction_id"], 10_000, CELL_THRESHOLD)
     return found.select("transaction_id", "cluster_hdbscan")
 
 

@@ -37,13 +37,13 @@ def prepared(spark: SparkSession, folder: str) -> DataFrame:
     return cut_lineage(transform(engineer(ledger.transactions(spark, folder)))[0])
 
 
-def segment(model: DataFrame, keys: list[str], restarts: int = 10, seed: int = 42) -> DataFrame:
+def segment(model: DataFrame, keys: list[str], restarts: int = 10, threshold: float = 0.3, seed: int = 42) -> DataFrame:
     """All cluster labels and the structural outlier mark, beside the model columns."""
     labelled = segments.kmeans_segment(model, MODEL_FEATURES, restarts=restarts, seed=seed)
     typed = cleaning.inverse_one_hot(labelled, "type_", "_type")
-    sampled = segments.density_cluster_sample_predict(typed, MODEL_FEATURES, "_type", keys, seed=seed).drop("_type")
-    macro = segments.macro_cluster(cut_lineage(sampled), MODEL_FEATURES, seed=seed)
-    dense = cut_lineage(segments.density_cluster_centres(cut_lineage(macro), MODEL_FEATURES))
+    sampled = segments.density_cluster_sample_predict(typed, MODEL_FEATURES, "_type", keys, threshold=threshold, seed=seed).drop("_type")
+    macro = segments.macro_cluster(cut_lineage(sampled), MODEL_FEATURES, threshold, seed=seed)
+    dense = cut_lineage(segments.density_cluster_centres(cut_lineage(macro), MODEL_FEATURES, threshold))
     return cluster_eval.riskiest_cluster_flag(dense, "cluster_birch_hdbscan", name="is_birch_hdbscan_outlier")
 
 
@@ -52,13 +52,13 @@ def score(clustered: DataFrame, keys: list[str], trees: int = 100, seed: int = 4
     return risk.score_ledger(flagged)
 
 
-def run(raw: DataFrame, output: str, key: str = "transaction_id", restarts: int = 10, trees: int = 100) -> dict[str, DataFrame]:
+def run(raw: DataFrame, output: str, key: str = "transaction_id", restarts: int = 10, trees: int = 100, threshold: float = 0.3) -> dict[str, DataFrame]:
     """Run all stages and store everything under ``output``; returns the serving tables."""
     spark = tune(raw.sparkSession)
     model, scaler = transform(writers.save_parquet(engineer(raw), f"{output}/engineered"))
     writers.save_scaler(spark, scaler, f"{output}/scaler")
     model = writers.save_parquet(model, f"{output}/model")
-    clustered = writers.save_parquet(segment(model, [key], restarts), f"{output}/clustered")
+    clustered = writers.save_parquet(segment(model, [key], restarts, threshold), f"{output}/clustered")
     writers.split_export(clustered, f"{output}/segments")
     baskets = rules.collapse_baskets(rules.build_basket(clustered).select("items"))
     mined = rules.mine(baskets)

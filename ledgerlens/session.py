@@ -43,7 +43,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably; later plans start from the stored rows."""
+    """Store ``df`` in the shared folder and go on from the stored columns.
+
+    A written table is computed once (a checkpoint recomputes its last stage), is read
+    column by column, and has a known size, so joins with small ones broadcast by
+    themselves.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin_layout(df: DataFrame) -> DataFrame:
+    """Store ``df`` with its partitions and row order as they are."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
