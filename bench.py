@@ -36,6 +36,7 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -1,7 +1,6 @@
 """Exact quantiles without gathering a whole column in one task.
 
-Reading exact ranks off a sorted column in one task is fine for a few hundred thousand
-values and impossible for a cluster-sized column, so larger inputs are narrowed first:
+Reading exact ranks off a sorted column in one task is fine for a million values and impossible for a cluster-sized column, so larger inputs are narrowed first:
 each pass over the (pruned) columns counts rows around a
 bracket of two values and sketches what lies between them; only when few enough values
 remain are those gathered and sorted. Counts decide, the sketch only proposes, so the
@@ -17,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 200_000
+DIRECT_ROWS = 1_000_000
+COLUMNS_PER_SORT = 4
 GRID_STEPS = 250
 SKETCH_ACCURACY = 5_000
 
@@ -131,13 +131,13 @@ def _gather_all(values: DataFrame, targets: list[_Rank]) -> None:
     wanted: dict[str, list[int]] = {}
     for target in targets:
         wanted.setdefault(target.column, []).append(target.rank)
-    names = list(wanted)
-    ordered = values.agg(*[F.sort_array(F.collect_list(f"`{n}`")).alias(f"s{i}") for i, n in enumerate(names)])
-    row = ordered.select(
-        *[F.array(*[F.get(f"s{i}", F.lit(r)) for r in wanted[n]]).alias(f"v{i}") for i, n in enumerate(names)]
-    ).first()
-    for target in targets:
-        target.value = row[f"v{names.index(target.column)}"][wanted[target.column].index(target.rank)]
+    for start in range(0, len(wanted), COLUMNS_PER_SORT):
+        names = list(wanted)[start : start + COLUMNS_PER_SORT]
+        ordered = values.agg(*[F.sort_array(F.collect_list(f"`{n}`")).alias(n) for n in names])
+        row = ordered.select(*[F.array(*[F.get(f"`{n}`", F.lit(r)) for r in wanted[n]]).alias(n) for n in names]).first()
+        for target in targets:
+            if target.column in names:
+                target.value = row[target.column][wanted[target.column].index(target.rank)]
 
 
 def _rank_pair(p: float, count: int) -> tuple[int, int]:

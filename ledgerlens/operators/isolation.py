@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.quantiles import exact_quantiles
 from ledgerlens.operators import sampling
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import cut_lineage, spread
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 EULER_GAMMA = 0.5772156649015329
@@ -42,19 +42,20 @@ class Forest:
     depth: int
     feature: np.ndarray
     threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    children: np.ndarray
     path: np.ndarray
 
     def mean_path(self, points: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(points))
-        rows = np.arange(len(points))
-        for t in range(len(self.feature)):
-            at = np.zeros(len(points), dtype=np.int32)
+        """Average over the trees of the depth at which each point is isolated."""
+        n = len(points)
+        by_feature = np.ascontiguousarray(points.T).ravel()
+        rows, total = np.arange(n), np.zeros(n)
+        for feature, threshold, children, path in zip(self.feature, self.threshold, self.children, self.path):
+            at = np.zeros(n, dtype=np.int64)
             for _ in range(self.depth):
-                goes_left = points[rows, self.feature[t][at]] <= self.threshold[t][at]
-                at = np.where(goes_left, self.left[t][at], self.right[t][at])
-            total += self.path[t][at]
+                value = by_feature.take(feature.take(at) * n + rows)
+                at = children.take(2 * at + (value > threshold.take(at)))
+            total += path.take(at)
         return total / len(self.feature)
 
 
@@ -90,9 +91,14 @@ def fit_isolation_forest(
     """
     filled = df.select(*keys, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
     pool = cut_lineage(sampling.fixed_size_random(filled, trees * sample_rows, keys, seed))
+    drawn_rows = min(sample_rows, pool.count())
+    share = (sample_rows + 10 * math.sqrt(sample_rows) + 50) / max(pool.count(), 1)
     drawn = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", *keys), *keys))
-    samples = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= sample_rows)
+    lot = sampling.unit_hash(["tree", *keys], seed)
+    # a tree's 256 lowest lots lie below this share by ten standard deviations
+    chosen = drawn.withColumn("_lot", lot).filter(F.col("_lot") <= share)
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("_lot", *keys))
+    samples = chosen.withColumn("_rank", rank).filter(F.col("_rank") <= sample_rows)
     depth = math.ceil(math.log2(max(sample_rows, 2)))
     names = list(features)
 
@@ -103,15 +109,13 @@ def fit_isolation_forest(
         return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "path"])
 
     nodes = samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
-    width = int(nodes["node"].max()) + 1
-    shape = (trees, width)
-    tables = {}
-    for name, kind in (("feature", np.int32), ("threshold", float), ("left", np.int32), ("right", np.int32), ("path", float)):
-        table = np.zeros(shape, dtype=kind)
-        table[nodes["tree"], nodes["node"]] = nodes[name]
-        tables[name] = table
-    drawn_rows = min(sample_rows, pool.count())
-    return Forest(tuple(features), drawn_rows, depth, **tables)
+    shape = (trees, int(nodes["node"].max()) + 1)
+    at = (nodes["tree"], nodes["node"])
+    feature, threshold, path = np.zeros(shape, dtype=np.int64), np.zeros(shape), np.zeros(shape)
+    children = np.zeros((*shape, 2), dtype=np.int64)
+    feature[at], threshold[at], path[at] = nodes["feature"], nodes["threshold"], nodes["path"]
+    children[at] = nodes[["left", "right"]]
+    return Forest(tuple(features), drawn_rows, depth, feature, threshold, children.reshape(trees, -1), path)
 
 
 def isolation_score(forest: Forest) -> Column:
@@ -135,6 +139,7 @@ def isolation_forest_flag(
 
     Only the score column is stored to find the exact cut; the second pass applies it.
     """
+    df = spread(df)
     forest = fit_isolation_forest(df, features, keys, trees, sample_rows, seed)
     score = isolation_score(forest)
     stored = cut_lineage(df.select(score.alias("score")))

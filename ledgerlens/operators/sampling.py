@@ -20,7 +20,7 @@ from ledgerlens.session import cut_lineage
 _HASH_RANGE = float(2**64)
 
 
-def _unit_hash(keys: Sequence[str], seed: int) -> Column:
+def unit_hash(keys: Sequence[str], seed: int) -> Column:
     """A repeatable number in [0, 1) per row id."""
     return (F.xxhash64(F.lit(seed), *keys).cast("double") + F.lit(_HASH_RANGE / 2)) / F.lit(_HASH_RANGE)
 
@@ -50,7 +50,7 @@ def stratum_sizes(df: DataFrame, stratum: str, limit: int = 1_000) -> dict:
 def stratified(df: DataFrame, stratum: str, quotas: Mapping, sizes: Mapping, keys: Sequence[str], seed: int) -> DataFrame:
     """Exactly min(quota, size) rows of every stratum."""
     shares = {s: _keep_share(quotas[s], sizes[s]) for s in sizes}
-    hashed = df.withColumn("_u", _unit_hash(keys, seed))
+    hashed = df.withColumn("_u", unit_hash(keys, seed))
     while True:
         thinned = cut_lineage(hashed.filter(F.col("_u") <= _literal_by(stratum, shares)))
         left = stratum_sizes(thinned, stratum)

@@ -8,6 +8,7 @@ from ledgerlens.operators import anomaly, isolation, risk
 from ledgerlens.operators.cleaning import one_hot
 from ledgerlens.plans.registry import query, rounded, scored
 from ledgerlens.plans.sql_views import FLAGGED, SCORED, SCORED_IN, quoted
+from ledgerlens.session import cut_lineage
 from ledgerlens.sources.ledger import scoring_input, table
 
 TYPES = ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER")
@@ -84,13 +85,13 @@ def univariate_overlap(spark, folder):
 
 @query("isolation_forest_flag")
 def isolation_forest_flag(spark, folder):
-    rows = scoring_input(spark, folder).select("transaction_id", "amount", "origError", "destError")
+    rows = cut_lineage(scoring_input(spark, folder).select("transaction_id", "amount", "origError", "destError"))
     return rounded(isolation.isolation_forest_flag(rows, ["transaction_id"]), 8, "isolation_score")
 
 
 @query("isolation_report")
 def isolation_report(spark, folder):
-    rows = scoring_input(spark, folder).select("transaction_id", "amount", "origError", "destError")
+    rows = cut_lineage(scoring_input(spark, folder).select("transaction_id", "amount", "origError", "destError"))
     return isolation.isolation_report(isolation.isolation_forest_flag(rows, ["transaction_id"]))
 
 
