@@ -46,7 +46,7 @@ def _train(points: DataFrame, k: int, seeds: Sequence[int], max_iter: int, weigh
         return model.summary.trainingCost, sorted(c.tolist() for c in model.clusterCenters())
 
     with ThreadPool(min(len(seeds), PARALLEL_RUNS)) as pool:
-        return min(pool.map(inheritable_thread_target(one), seeds))
+        return min(pool.map(inheritable_thread_target(points.sparkSession)(one), seeds))
 
 
 def _lloyd_pass(df: DataFrame, features: Features, centres: list[list[float]]) -> tuple[float, list[list[float]]]:
