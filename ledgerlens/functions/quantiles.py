@@ -214,12 +214,19 @@ def exact_quantiles(
     return {name: [p.quantiles[q] for q in probs] for name, p in profile.items()}
 
 
+def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], direct_rows: int = DIRECT_ROWS) -> list[float]:
+    """The values at 0-based positions of a column's rising order, nulls left out."""
+    values, _ = _as_doubles(df, [column])
+    base = values.agg(F.count(f"`{column}`").alias("n"), F.min(f"`{column}`").alias("lo"), F.max(f"`{column}`").alias("hi")).first()
+    targets = [_Rank(column, r, base["lo"], base["hi"], proposal=(base["lo"], base["hi"])) for r in sorted(set(ranks))]
+    if base["n"] <= direct_rows:
+        _gather_all(values, targets)
+    _settle(values, targets, direct_rows)
+    found = {t.rank: t.value for t in targets}
+    return [found[r] for r in ranks]
+
+
 def kth_largest(df: DataFrame, column: str, k: int, direct_rows: int = DIRECT_ROWS) -> float | None:
     """The k-th largest non-null value (1 = maximum), or None when there are fewer."""
-    values, _ = _as_doubles(df, [column])
-    base = values.agg(F.count(column).alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    if base["n"] < k:
-        return None
-    target = _Rank(column, base["n"] - k, base["lo"], base["hi"], proposal=(base["lo"], base["hi"]))
-    _settle(values, [target], direct_rows)
-    return target.value
+    n = df.agg(F.count(column)).first()[0]
+    return None if n < k else values_at_ranks(df, column, [n - k], direct_rows)[0]

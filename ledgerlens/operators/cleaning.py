@@ -11,6 +11,7 @@ from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.functions.ordering import with_global_index
 from ledgerlens.functions.quantiles import numeric_profile
 
+MAX_CATEGORIES = 1_000
 SCALED_COLUMNS = ("amount", "oldbalanceOrg", "oldbalanceDest", "origError", "destError", "step")
 
 
@@ -42,7 +43,10 @@ def ledger_features(df: DataFrame) -> DataFrame:
 def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
     """Replace a category by one 0/1 byte column per value (observed ones unless given)."""
     if values is None:
-        values = [r[0] for r in df.select(column).distinct().filter(F.col(column).isNotNull()).orderBy(column).collect()]
+        seen = df.select(column).distinct().filter(F.col(column).isNotNull()).limit(MAX_CATEGORIES + 1).collect()
+        if len(seen) > MAX_CATEGORIES:
+            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values and cannot be one-hot encoded")
+        values = sorted(r[0] for r in seen)
     flags = {f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("byte") for v in values}
     return df.withColumns(flags).drop(column)
 

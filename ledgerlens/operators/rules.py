@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.functions.ordering import with_global_index
-from ledgerlens.functions.quantiles import exact_quantiles
+from ledgerlens.functions.quantiles import exact_quantiles, values_at_ranks
 from ledgerlens.session import cut_lineage
 
 RULE_ORDER = (F.desc, "lift"), (F.desc, "confidence"), (F.desc, "support"), (F.asc, "antecedents_str"), (F.asc, "consequents_str")
@@ -59,21 +59,48 @@ def quantile_bins(df: DataFrame, columns: Sequence[str], q: int = 5) -> DataFram
     return df.withColumns({f"{c}_bin": quantile_bin(c, e) for c, e in fitted.items()})
 
 
+def _rank_boundaries(df: DataFrame, column: str, key: str, q: int) -> list[tuple[float, str | None]]:
+    """Value, and key where equal values are divided, of the last row in each rank bin but the top one.
+
+    Ranks follow (value, key). Values come from exact order statistics; only where a
+    boundary falls inside a group of equal values are that group's keys put in order.
+    """
+    total = df.agg(F.count(column)).first()[0]
+    ranks = [(total - 1) * i // q for i in range(1, q)]
+    values = values_at_ranks(df, column, ranks)
+    x = F.col(column).cast("double")
+    around = df.agg(
+        *[F.count(F.when(x < v, 1)).alias(f"below{i}") for i, v in enumerate(values)],
+        *[F.count(F.when(x == v, 1)).alias(f"equal{i}") for i, v in enumerate(values)],
+    ).first()
+    boundaries = []
+    for i, (rank, value) in enumerate(zip(ranks, values)):
+        place = rank - around[f"below{i}"]
+        divided = None
+        if place < around[f"equal{i}"] - 1:
+            ordered = with_global_index(df.filter(x == F.lit(value)).select(key), key, name="_at")
+            divided = ordered.filter(F.col("_at") == place).first()[key]
+        boundaries.append((value, divided))
+    return boundaries
+
+
 def quantile_bins_fixed_labels(df: DataFrame, columns: Sequence[str], key: str, q: int = 5) -> DataFrame:
     """Always ``q`` labels: where edges coincide, equal-sized bins of the rank (ties by key) instead."""
     fitted = fit_quantile_bins(df, columns, q)
-    labels = _labels(q)
+    added = {}
     for column in columns:
         edges = fitted.get(column, [])
         if len(edges) == q + 1:
-            df = df.withColumn(f"{column}_bin", quantile_bin(column, edges))
+            added[f"{column}_bin"] = quantile_bin(column, edges)
             continue
-        ranked = with_global_index(df, column, key, name="_rank")
-        last = F.lit(ranked.count() - 1)
-        code = reduce(lambda a, b: a + b, [(F.col("_rank") * q > last * i).cast("int") for i in range(1, q)])
-        names = F.array(*[F.lit(f"{column}_{label}") for label in labels])
-        df = ranked.withColumn(f"{column}_bin", F.get(names, code)).drop("_rank")
-    return df
+        x = F.col(column).cast("double")
+        beyond = [
+            (x > F.lit(value)) | ((x == F.lit(value)) & (F.col(key) > F.lit(divided)) if divided is not None else F.lit(False))
+            for value, divided in _rank_boundaries(df, column, key, q)
+        ]
+        names = F.array(*[F.lit(f"{column}_{label}") for label in _labels(q)])
+        added[f"{column}_bin"] = F.get(names, reduce(lambda a, b: a + b, [c.cast("int") for c in beyond]))
+    return df.withColumns(added)
 
 
 # --- baskets -----------------------------------------------------------------------

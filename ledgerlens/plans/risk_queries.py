@@ -287,7 +287,7 @@ _TOP = "ORDER BY risk_score DESC, risk_indicator_count DESC, flag_BalanceMismatc
 
 @query("top_anomalies", SCORED + f"SELECT transaction_id, risk_score, risk_indicator_count, flag_BalanceMismatch, amount, anomaly_reason FROM scored {_TOP} 2000")
 def top_anomalies(spark, folder):
-    top = risk.top_anomalies(scored(spark, folder), 2000)
+    top = risk.top_anomalies(cut_lineage(scored(spark, folder)), 2000)
     return top.select("transaction_id", "risk_score", "risk_indicator_count", "flag_BalanceMismatch", "amount", "anomaly_reason")
 
 
@@ -298,7 +298,7 @@ def top_anomalies(spark, folder):
 
 
 def top_anomalies_20000(spark, folder):
-    top = risk.top_anomalies(scored(spark, folder))
+    top = risk.top_anomalies(cut_lineage(scored(spark, folder)))
     return top.agg(
         F.count("*").alias("rows"), F.sum("isFraud").cast("long").alias("fraud_rows"), F.min("amount").alias("smallest"), F.max("amount").alias("largest")
     )

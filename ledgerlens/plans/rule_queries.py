@@ -6,6 +6,7 @@ from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.operators import rule_views, rules
 from ledgerlens.plans.registry import baskets, collapsed, query, rounded, rule_table
 from ledgerlens.plans.sql_views import ALL_RULES, BASKETS, BINNED, ITEMSETS, RULE_ORDER, RULE_TABLE, RULES, TOP10, _binned, quoted
+from ledgerlens.session import cut_lineage
 from ledgerlens.sources.ledger import scoring_input
 
 BINS = tuple(f"{c}_bin" for c in fixed.BINNED_COLUMNS)
@@ -44,7 +45,7 @@ _FIXED_BINS = BINNED + f", ranked AS (SELECT *, {_RANKS}, count(*) OVER () AS ro
 
 @query("quantile_bins_fixed_labels", _FIXED_BINS + f"SELECT transaction_id, {', '.join(BINS)} FROM fixed_bins")
 def quantile_bins_fixed_labels(spark, folder):
-    rows = scoring_input(spark, folder).select("transaction_id", *fixed.BINNED_COLUMNS)
+    rows = cut_lineage(scoring_input(spark, folder).select("transaction_id", *fixed.BINNED_COLUMNS))
     return rules.quantile_bins_fixed_labels(rows, fixed.BINNED_COLUMNS, "transaction_id").select("transaction_id", *BINS)
 
 
@@ -125,7 +126,7 @@ _VARIANT = (_FIXED_BINS + BASKETS[len(BINNED):].replace("FROM binned", "FROM fix
 
 
 def general_and_fraud_rules(spark, folder):
-    rows = scoring_input(spark, folder)
+    rows = cut_lineage(scoring_input(spark, folder))
     table = rules.build_basket_fixed_labels(rows, "transaction_id", "is_birch_hdbscan_outlier")
     return shown(rules.general_and_fraud_rules(rules.collapse_baskets(table.select("items"))))
 

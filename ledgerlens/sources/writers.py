@@ -52,7 +52,7 @@ def save_serving_tables(serving: DataFrame, cube: DataFrame, rules: DataFrame, f
     rows.write.mode("overwrite").partitionBy("risk_level").parquet(f"{folder}/transactions")
     small = {"cube": cube, "rules": rules, **({"projection": projection} if projection is not None else {})}
     for name, table in small.items():
-        table.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+        table.repartition(1).write.mode("overwrite").parquet(f"{folder}/{name}")
     spark = serving.sparkSession
     return {name: spark.read.parquet(f"{folder}/{name}") for name in ("transactions", *small)}
 
@@ -76,7 +76,7 @@ def run_manifest(spark: SparkSession, path: str, mode: str, counts: Mapping[str,
     fields = ", ".join(f"`{name}` long" for name in counts)
     stamp = datetime.now(timezone.utc).isoformat()
     row = spark.createDataFrame([(stamp, mode, *counts.values())], f"created_at string, mode string, {fields}")
-    row.coalesce(1).write.mode("append").json(path)
+    row.repartition(1).write.mode("append").json(path)
     return spark.read.schema(row.schema).json(path)
 
 

@@ -420,3 +420,18 @@ def test_all_stages_end_to_end(spark, folder, tmp_path):
     assert desk.get_segment_projection(method="pca", dim=2).columns == ["proj_x", "proj_y", "cluster_kmeans", "isFraud"]
     assert desk.get_rules(limit=3).count() == 3 and desk.relevance().count() == 15
     desk.close()
+
+
+@pytest.mark.parametrize("zeros", [0, 50, 95, 100])
+def test_rank_bins_divide_equal_values_by_key(spark, zeros):
+    rng = random.Random(zeros)
+    rows = [(f"k{i:03d}", 0.0 if i < zeros else float(i)) for i in range(103)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, x double").repartition(3)
+    found = {r["id"]: r["x_bin"] for r in rules.quantile_bins_fixed_labels(df, ["x"], "id").collect()}
+    names = [f"x_{label}" for label in fixed.BIN_LABELS[5]]
+    ordered = sorted(rows, key=lambda r: (r[1], r[0]))
+    expected = {r[0]: names[sum(at * 5 > 102 * i for i in range(1, 5))] for at, r in enumerate(ordered)}
+    if zeros:
+        assert found == expected
+    assert set(found.values()) == set(names)
