@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
+from math import isnan
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -320,9 +323,20 @@ def histogram(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ()
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair in one aggregation, in long form (both directions)."""
+    """Pearson correlation of every pair of columns, in long form (both directions).
+
+    Columns without nulls go through one centred matrix product per partition, merged in
+    a tree. Where there are nulls, each pair uses the rows that have both values.
+    """
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    present = doubles.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
+    if all(present[c] == present["_rows"] for c in columns) and present["_rows"] > 1:
+        vectors = doubles.select(array_to_vector(F.array(*columns)).alias("features"))
+        matrix = Correlation.corr(vectors, "features").first()[0].toArray().tolist()
+        rows = [(a, b, None if isnan(matrix[i][j]) else matrix[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+        return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = doubles.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for x, y in {(a, b), (b, a)}:

@@ -22,7 +22,7 @@ from ledgerlens.operators import sampling
 from ledgerlens.operators.cleaning import model_input, scale, standard_scale_fit
 from ledgerlens.operators.cluster_eval import cluster_quality, width_of
 from ledgerlens.operators.filters import Filters, all_of
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import cut_lineage, spread
 
 
 PARALLEL_RUNS = 8
@@ -80,7 +80,7 @@ def fit_kmeans(
     columns = [array_to_vector(vector(features)).alias("features")]
     if weight:
         columns.append(F.col(weight).cast("double").alias("weight"))
-    points = source.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    points = spread(source.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cost, centres = _train(points, k, range(seed, seed + restarts), max_iter, bool(weight))
     finally:
@@ -167,13 +167,12 @@ def macro_cluster(df: DataFrame, features: Sequence[str], threshold: float = 0.3
 
 def _face_neighbours(cells: DataFrame, dimensions: int, steps: Sequence[int]) -> DataFrame:
     """Every cell with the cells that differ by one step in exactly one dimension."""
-    parts = F.split("cell", ",")
-    moved = [
-        F.concat_ws(",", *[(F.get(parts, F.lit(j)).cast("long") + (step if i == j else 0)).cast("string") for j in range(dimensions)])
-        for i in range(dimensions)
-        for step in steps
-    ]
-    return cells.select(F.col("cell").alias("u"), F.explode(F.array(*moved)).alias("v"))
+    moved = F.expr(
+        f"transform(sequence(0, {dimensions - 1}), i -> array_join(transform(split(cell, ','), "
+        "(p, j) -> cast(cast(p as bigint) + if(i = j, step, 0) as string)), ','))"
+    )
+    stepped = cells.select("cell", F.explode(F.array(*[F.lit(s) for s in steps])).alias("step"))
+    return stepped.select(F.col("cell").alias("u"), F.explode(moved).alias("v"))
 
 
 def density_cells(cells: DataFrame, dimensions: int, min_cluster_size: int = 30, min_samples: int = 10) -> DataFrame:

@@ -435,3 +435,18 @@ def test_rank_bins_divide_equal_values_by_key(spark, zeros):
     if zeros:
         assert found == expected
     assert set(found.values()) == set(names)
+
+
+def test_correlations_with_and_without_nulls(spark):
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=200)
+    data = np.column_stack([a, a + rng.normal(size=200), rng.normal(size=200)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], "a double, b double, c double")
+    found = {(r["column_a"], r["column_b"]): r["correlation"] for r in quality.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    expected = np.corrcoef(data.T)
+    assert all(found[x, y] == pytest.approx(expected[i, j]) for i, x in enumerate("abc") for j, y in enumerate("abc"))
+    holes = df.withColumn("b", F.when(F.col("c") < 1, F.col("b")))
+    kept = data[data[:, 2] < 1]
+    found = {(r["column_a"], r["column_b"]): r["correlation"] for r in quality.correlation_matrix(holes, ["a", "b", "c"]).collect()}
+    assert found["a", "b"] == pytest.approx(np.corrcoef(kept[:, 0], kept[:, 1])[0, 1])
+    assert found["a", "c"] == pytest.approx(expected[0, 2]) and len(found) == 9
