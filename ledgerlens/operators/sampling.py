@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,8 +108,15 @@ def fixed_size_random(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42
 
 
 def systematic_every_k(df: DataFrame, order: Sequence[str], target: int = 100_000) -> DataFrame:
-    """Every k-th row of a stated unique order, with k = rows // target but at least 1."""
+    """Every k-th row of a stated unique order, with k = rows // target but at least 1.
+
+    Only the order columns are sorted and numbered. The picked keys, fewer than twice the
+    target, are broadcast to fetch their rows.
+    """
     k = max(1, df.count() // target)
     if k == 1:
         return df
-    return with_global_index(df, *order, name="_n").filter(F.col("_n") % k == 0).drop("_n")
+    numbered = with_global_index(df.select(*order), *order, name="_n")
+    picked = F.broadcast(numbered.filter(F.col("_n") % k == 0).drop("_n"))
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(picked[c]) for c in order])
+    return df.join(picked, same, "left_semi")
