@@ -30,24 +30,51 @@ def _or_dash(number: Column, text: Column) -> Column:
     return F.when(number.isNull(), "-").otherwise(text)
 
 
+_SPLIT = float(2**27 + 1)
+
+
+def _units(v: Column, decimals: int) -> Column:
+    """A non-negative number in units of the last shown decimal, halves to even.
+
+    Whether a number is exactly half-way is decided on its binary value: the product's
+    rounding error is recovered by splitting the number into two short halves.
+    """
+    scale = F.lit(float(10**decimals))
+    product = v * scale
+    scaled = v * F.lit(_SPLIT)
+    high = scaled - (scaled - v)
+    error = (high * scale - product) + (v - high) * scale
+    below = F.floor(product)
+    half = F.when(error > 0, below + 1).when(error < 0, below).otherwise(below + below % 2)
+    return F.when(product - below == 0.5, half).otherwise(F.rint(product).cast("long"))
+
+
+def _decimal(v: Column, decimals: int, grouping: str = "") -> Column:
+    """Fixed-point text with a decimal point, optionally with thousands commas."""
+    units, base = _units(F.abs(v), decimals), 10**decimals
+    whole = F.format_string(f"%{grouping}d", F.floor(units / F.lit(base)))
+    shown = whole if decimals == 0 else F.concat(whole, F.lit("."), F.lpad((units % base).cast("string"), decimals, "0"))
+    return F.concat(F.when(v < 0, "-").otherwise(""), shown)
+
+
 def format_pct(value: Column, decimals: int = 2) -> Column:
     v = value.try_cast("double")
-    return _or_dash(v, F.translate(F.format_string(f"%.{decimals}f%%", v * 100), ".", ","))
+    return _or_dash(v, F.concat(F.translate(_decimal(v * 100, decimals), ".", ","), F.lit("%")))
 
 
 def format_int(value: Column) -> Column:
     v = value.try_cast("double")
-    return _or_dash(v, F.translate(F.format_string("%,d", F.bround(v).cast("long")), ",", "."))
+    return _or_dash(v, F.translate(_decimal(v, 0, ","), ",", "."))
 
 
 def format_rupiah(value: Column, decimals: int = 0) -> Column:
     v = value.try_cast("double")
-    return _or_dash(v, F.concat(F.lit("Rp"), F.translate(F.format_string(f"%,.{decimals}f", v), ",.", ".,")))
+    return _or_dash(v, F.concat(F.lit("Rp"), F.translate(_decimal(v, decimals, ","), ",.", ".,")))
 
 
 def format_multiplier(value: Column) -> Column:
     v = value.try_cast("double")
-    return _or_dash(v, F.translate(F.format_string("%,.1fx", v), ".", ","))
+    return _or_dash(v, F.concat(F.translate(_decimal(v, 1, ","), ".", ","), F.lit("x")))
 
 
 def humanize_items(joined: Column) -> Column:

@@ -450,3 +450,14 @@ def test_correlations_with_and_without_nulls(spark):
     found = {(r["column_a"], r["column_b"]): r["correlation"] for r in quality.correlation_matrix(holes, ["a", "b", "c"]).collect()}
     assert found["a", "b"] == pytest.approx(np.corrcoef(kept[:, 0], kept[:, 1])[0, 1])
     assert found["a", "c"] == pytest.approx(expected[0, 2]) and len(found) == 9
+
+
+@pytest.mark.parametrize("decimals", [0, 1, 2, 3])
+def test_fixed_point_texts_round_like_python(spark, decimals):
+    rng = random.Random(decimals)
+    numbers = [0.5, 1.5, 2.5, 56.25, 2.675, 1.005, 0.125, 0.375, 1e-9, 99.9999, 1234567.125, -3.25, -0.004, 0.0]
+    numbers += [rng.randrange(10**6) / rng.choice([8, 16, 1000, 2000]) for _ in range(300)] + [rng.uniform(0, 1e6) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in numbers], "v double")
+    found = column(df.select(text.format_rupiah(F.col("v"), decimals).alias("t")), "t")
+    expected = ["Rp" + f"{v:,.{decimals}f}".translate(str.maketrans(",.", ".,")) for v in numbers]
+    assert found == expected
