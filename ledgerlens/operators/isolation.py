@@ -91,8 +91,9 @@ def fit_isolation_forest(
     """
     filled = df.select(*keys, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
     pool = cut_lineage(sampling.fixed_size_random(filled, trees * sample_rows, keys, seed))
-    drawn_rows = min(sample_rows, pool.count())
-    share = (sample_rows + 10 * math.sqrt(sample_rows) + 50) / max(pool.count(), 1)
+    pooled = pool.count()
+    drawn_rows = min(sample_rows, pooled)
+    share = (sample_rows + 10 * math.sqrt(sample_rows) + 50) / max(pooled, 1)
     drawn = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     lot = sampling.unit_hash(["tree", *keys], seed)
     # a tree's 256 lowest lots lie below this share by ten standard deviations

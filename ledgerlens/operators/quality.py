@@ -322,15 +322,24 @@ def histogram(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ()
     )
 
 
+PAIRWISE_COLUMNS = 5
+
+
+def _complete(df: DataFrame) -> bool:
+    """More than one row, and no nulls in any column."""
+    present = df.agg(F.count("*").alias("_rows"), *[F.count(f"`{c}`").alias(c) for c in df.columns]).first()
+    return present["_rows"] > 1 and all(present[c] == present["_rows"] for c in df.columns)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, in long form (both directions).
 
-    Columns without nulls go through one centred matrix product per partition, merged in
-    a tree. Where there are nulls, each pair uses the rows that have both values.
+    Many columns without nulls go through one centred matrix product per partition, merged
+    in a tree. Few columns, or some with nulls, take one aggregate per pair, over the rows
+    that have both values.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    present = doubles.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
-    if all(present[c] == present["_rows"] for c in columns) and present["_rows"] > 1:
+    if len(columns) > PAIRWISE_COLUMNS and _complete(doubles):
         vectors = doubles.select(array_to_vector(F.array(*columns)).alias("features"))
         matrix = Correlation.corr(vectors, "features").first()[0].toArray().tolist()
         rows = [(a, b, None if isnan(matrix[i][j]) else matrix[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]

@@ -437,7 +437,9 @@ def test_rank_bins_divide_equal_values_by_key(spark, zeros):
     assert set(found.values()) == set(names)
 
 
-def test_correlations_with_and_without_nulls(spark):
+@pytest.mark.parametrize("pairwise_columns", [2, 5])
+def test_correlations_with_and_without_nulls(spark, monkeypatch, pairwise_columns):
+    monkeypatch.setattr(quality, "PAIRWISE_COLUMNS", pairwise_columns)
     rng = np.random.default_rng(8)
     a = rng.normal(size=200)
     data = np.column_stack([a, a + rng.normal(size=200), rng.normal(size=200)])
