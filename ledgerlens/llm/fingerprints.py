@@ -21,6 +21,11 @@ ROWS_PER_BUCKET = 1_000
 RANGES = 256
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
@@ -39,7 +44,8 @@ def shingle_hashes(words: Column, width: int = SHINGLE_WORDS) -> Column:
 
 
 def sketch(text: Column, k: int = SKETCH_SIZE, width: int = SHINGLE_WORDS) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(shingle_hashes(words_of(text), width))), 1, k)
+    hashes = bound(words_of(text), lambda words: shingle_hashes(words, width))
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)
 
 
 def merge(a: Column, b: Column, k: int = SKETCH_SIZE) -> Column:
@@ -49,9 +55,12 @@ def merge(a: Column, b: Column, k: int = SKETCH_SIZE) -> Column:
 
 def resemblance(a: Column, b: Column, k: int = SKETCH_SIZE) -> Column:
     """Share of common shingles among all; two empty sketches are alike (1), an empty and another are not (0)."""
-    both = merge(a, b, k)
-    shared = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(shared / F.greatest(F.size(both), F.lit(1)))
+
+    def share(both: Column) -> Column:
+        shared = F.size(F.array_intersect(both, F.array_intersect(a, b)))
+        return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(shared / F.greatest(F.size(both), F.lit(1)))
+
+    return bound(merge(a, b, k), share)
 
 
 def distinct_shingles(a: Column, k: int = SKETCH_SIZE) -> Column:
