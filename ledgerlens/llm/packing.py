@@ -29,7 +29,7 @@ from ledgerlens.llm.stretches import WORD_AND_MARKS, Remembered, ids_by
 
 CAPACITY = 4096
 END_ID = 2
-ROWS_PER_SHARE = 20_000
+ROWS_PER_SHARE = 2_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 _ODD = "\x1c\x1d\x1e\x1fΣ"
