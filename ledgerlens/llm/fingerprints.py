@@ -136,19 +136,18 @@ def with_next(df: DataFrame, k: int = SKETCH_SIZE) -> DataFrame:
     bucket with rows. Texts are shuffled once. Rows with equal ids are ordered by text.
     """
     docs = _with_bucket(df, "doc_id")
-    firsts = docs.groupBy("bucket").agg(F.min("doc_id").alias("first_id"))
     everywhere = Window.orderBy("bucket")  # one row per bucket
     before = F.lag("bucket").over(everywhere)
     last = F.max("bucket").over(Window.partitionBy(F.lit(1)))
-    firsts = firsts.select("bucket", "first_id", F.coalesce(before, last).alias("goes_to"))
+    buckets = docs.select("bucket").distinct().select("bucket", F.coalesce(before, last).alias("goes_to"))
+    # Both uses of the dealt rows read one shuffle of the texts.
     dealt = docs.repartition("bucket")
     order = Window.partitionBy("bucket").orderBy("doc_id", "text")
-    numbered = dealt.select("doc_id", "text", "bucket", sketch(F.col("text"), k).alias("sketch"))
-    rows = numbered.withColumns(
+    rows = dealt.select("doc_id", "text", "bucket", sketch(F.col("text"), k).alias("sketch")).withColumns(
         {"next_text": F.lead("text").over(order), "next_sketch": F.lead("sketch").over(order)}
     )
-    heads = dealt.join(firsts, "bucket").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    heads = heads.groupBy(F.col("goes_to").alias("bucket")).agg(F.min("text").alias("head_text"))
+    heads = dealt.withColumn("row", F.row_number().over(order)).filter("row = 1").join(buckets, "bucket")
+    heads = heads.select(F.col("goes_to").alias("bucket"), F.col("text").alias("head_text"))
     heads = heads.withColumn("head_sketch", sketch(F.col("head_text"), k))
     joined = rows.join(heads, "bucket")
     last_row = F.col("next_text").isNull()
