@@ -12,8 +12,8 @@ contents, and each block has its own tree. Every qualifying pair meets somewhere
 frequent passage alone brings nobody together, since a group also holds other shingles.
 
 Equal sets go on as one. Blocks are first linked along a chain, and only blocks whose
-documents do not form one component yet go through the tree, so large groups of copies cost
-their size, not their pairs.
+documents do not form one component yet go through the tree, where every document tries its
+best partners first, so large groups of copies cost their size, not their pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ _U = np.uint64
 SPARE_GROUPS = 2
 POINT_GROUPS = 128
 LEAF = 32
+FIRST_PARTNERS = 1
+MORE_PARTNERS = 8
 
 
 @dataclass(frozen=True)
@@ -121,8 +123,40 @@ class CountTree:
         half = len(order) // 2
         return (None, (self._load(order[:half]), self._load(order[half:])), *known)
 
-    def pairs(self, like: Likeness) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows of different groups whose summed minima allow a link, each pair once."""
+    def best(self, like: Likeness, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every row its ``most`` best partners by bound, and whether there were more.
+
+        Returns rows, partners, and per entry whether the row has partners left out.
+        """
+        rows, partners, scores = (np.empty(0, t) for t in (np.int64, np.int64, float))
+        more = np.zeros(len(self.points), bool)
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def settle():
+            nonlocal rows, partners, scores
+            parts = [(rows, partners, scores), *waiting, *((b, a, s) for a, b, s in waiting)]
+            rows, partners, scores = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((partners, -scores, rows))
+            rows, partners, scores = rows[order], partners[order], scores[order]
+            first = np.concatenate([[True], rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, bool)
+            start = np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0)) if len(rows) else rows
+            keep = np.arange(len(rows)) - start < most
+            more[rows[~keep]] = True
+            rows, partners, scores = rows[keep], partners[keep], scores[keep]
+            waiting.clear()
+
+        held = 0
+        for a, b, score in self.pairs(like):
+            waiting.append((a, b, score))
+            held += len(a)
+            if held > 500_000:
+                settle()
+                held = 0
+        settle()
+        return rows, partners, more[rows]
+
+    def pairs(self, like: Likeness) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of rows of different groups whose summed minima allow a link, each pair once, with the bound."""
         todo = [(self.root, self.root)]
         while todo:
             a, b = todo.pop()
@@ -140,14 +174,15 @@ class CountTree:
             else:
                 todo += [(a, child) for child in b[1]]
 
-    def _leaves(self, a: np.ndarray, b: np.ndarray, same: bool, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
+    def _leaves(self, a: np.ndarray, b: np.ndarray, same: bool, like: Likeness):
         bound = np.minimum(self.points[a][:, None, :], self.points[b][None, :, :]).sum(axis=2)
-        keep = bound >= like.least_overlap(self.sizes[a][:, None] + self.sizes[b][None, :])
+        sizes = self.sizes[a][:, None] + self.sizes[b][None, :]
+        keep = bound >= like.least_overlap(sizes)
         keep &= self.groups[a][:, None] != self.groups[b][None, :]
         if same:
             keep = np.triu(keep, 1)
         x, y = np.nonzero(keep)
-        return a[x], b[y]
+        return a[x], b[y], bound[x, y] / sizes[x, y]
 
 
 # --- Spark stages --------------------------------------------------------------------------
@@ -205,38 +240,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     return both.filter(like.linked(shared, F.col("su") + F.col("sv"))).select("u", "v")
 
 
-def _tree_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs from the trees of the blocks: rows are (key, doc_id, component, size, point)."""
+def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
+    """Pairs (u, v, more) from the trees of the blocks: the best partners of every document.
 
-    def survivors(block: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    ``rows`` are (key, doc_id, component, size, point); ``more`` says that a document had
+    partners beyond ``most`` in a block.
+    """
+
+    def best(block: list[dict]) -> pa.RecordBatch:
         ids = np.array([r["doc_id"] for r in block])
         points = np.array([r["point"] for r in block], np.int32)
         tree = CountTree(points, np.array([r["size"] for r in block]), np.array([r["component"] for r in block]))
-        for a, b in tree.pairs(like):
-            yield ids[a], ids[b]
+        a, b, more = tree.best(like, most)
+        u, v = ids[a], ids[b]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(more)], names=["u", "v", "more"]
+        )
 
     def run(batches):
         block: list[dict] = []
-        out = []
         for batch in batches:
             for row in batch.to_pylist():
                 if block and block[0]["key"] != row["key"]:
-                    out += survivors(block)
+                    yield best(block)
                     block = []
                 block.append(row)
-            yield from flush(out)
-            out = []
         if block:
-            out += survivors(block)
-        yield from flush(out)
-
-    def flush(out):
-        if out:
-            u, v = (np.concatenate(side) for side in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+            yield best(block)
 
     dealt = rows.select("key", "doc_id", "component", "size", "point").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "u bigint, v bigint").distinct()
+    pairs = dealt.mapInArrow(run, "u bigint, v bigint, more boolean")
+    return pairs.groupBy("u", "v").agg(F.max("more").alias("more"))
+
+
+def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc_id, component, size, point) of the blocks that hold more than one component."""
+    placed = members.select("key", "doc_id").join(found, "doc_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
+    ends = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = placed.join(ends.filter("low != high").select("key"), "key", "left_semi")
+    return rows.join(sets.select("doc_id", "size", "point"), "doc_id")
 
 
 def _in_blocks(representatives: DataFrame) -> DataFrame:
@@ -268,14 +311,15 @@ def linked_groups(df: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     links = stored(_verified(chain.select(F.col("before").alias("u"), F.col("doc_id").alias("v")), sets, like))
     found = stored(connected_components(links).select(F.col("node").alias("doc_id"), "component"))
 
-    # Blocks that hold several components still: their trees.
-    placed = members.select("key", "doc_id").join(found, "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-    open_blocks = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = placed.join(open_blocks.filter("low != high").select("key"), "key", "left_semi")
-    rows = rows.join(sets.select("doc_id", "size", "point"), "doc_id")
-    more = stored(_verified(_tree_pairs(rows, like), sets, like))
-    joined = _merge(found, more)
+    # Blocks that hold several components still: their trees. Every document tries its best
+    # partners of other components; linked ones merge, and the next round tries more, until
+    # no document has partners left out.
+    most, left = FIRST_PARTNERS, True
+    while left:
+        tried = stored(_tree_pairs(_open_rows(members, sets, found), like, most))
+        found = _merge(found, stored(_verified(tried.select("u", "v"), sets, like)))
+        most, left = most * MORE_PARTNERS, not tried.filter("more").isEmpty()
+    joined = found
 
     same_set = some.groupBy(*_SET_ID).agg(F.min("doc_id").alias("first_doc"))
     out = known.select("doc_id", *_SET_ID).join(same_set, _SET_ID, "left")
