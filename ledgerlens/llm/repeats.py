@@ -285,7 +285,7 @@ def _dealt_windows(rows: DataFrame, threshold: int) -> DataFrame:
 def find_repeats(df: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per text with repeats: doc_id, mark, and ``found``: places with the stretches around them that repeat."""
     reach = threshold - GRAM
-    rows = stored(_anchor_rows(_documents(df), threshold))
+    rows = _anchor_rows(_documents(df), threshold)  # twice: cheaper than keeping all anchors on disk
     # First pass: fingerprints that occur more than once.
     more = rows.groupBy("gram").count().filter("count > 1").select("gram")
     rows = stored(rows.join(more, "gram", "left_semi"))
@@ -303,11 +303,15 @@ def find_repeats(df: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) ->
     groups = classes.groupBy("gram").agg(F.count("*").alias("members"), F.min("times").alias("fewest"))
     groups = groups.filter("members > 1 AND fewest = 1").select("gram", "members")
     wanted = classes.join(groups, "gram").select("gram", "around", "times", "one.*")
-    around = stored(_with_bytes(texts, wanted, threshold))
+    around = _with_bytes(texts, wanted, threshold)
     large = groups.filter(F.col("members") > SURROUNDINGS_PER_TASK_GROUP).select("gram")
-    edges = _sorted_groups(around.join(large, "gram", "left_anti"), threshold).unionByName(
-        _dealt_windows(around.join(large, "gram", "left_semi"), threshold)
-    )
+    if large.isEmpty():
+        edges = _sorted_groups(around, threshold)
+    else:
+        around = stored(around)
+        edges = _sorted_groups(around.join(large, "gram", "left_anti"), threshold).unionByName(
+            _dealt_windows(around.join(large, "gram", "left_semi"), threshold)
+        )
     return settled.unionByName(edges).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "spans")).alias("found"))
 
 
