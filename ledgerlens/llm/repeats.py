@@ -375,7 +375,8 @@ def remove_repeats(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     Characters that a cut would split go whole. A null text becomes an empty one.
     """
-    others = [c for c in df.columns if c != "text"]
+    names = df.columns
+    others = [c for c in names if c != "text"]
 
     def run(batches):
         for batch in batches:
@@ -383,6 +384,6 @@ def remove_repeats(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             for data, found in zip(unpack(batch.column(len(others))), batch.column(len(others) + 1).to_pylist()):
                 texts.append(without(data, removed_runs(len(data), found or [])).decode("utf-8", errors="ignore"))
             arrays = dict(zip(others, batch.columns)) | {"text": pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([arrays[c] for c in df.columns], names=df.columns)
+            yield pa.RecordBatch.from_arrays([arrays[c] for c in names], names=names)
 
     return _with_found(df, threshold, *others).mapInArrow(run, df.schema)
