@@ -36,17 +36,15 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node of every node's component, for the nodes of an edge list (``u``, ``v``)."""
     stars = cut_lineage(edges.select("u", "v").filter("u != v").distinct())
     seen = _fingerprint(stars)
-    for _ in range(max_rounds):
+    while True:
         stars = cut_lineage(_small_star(_large_star(stars, seen[0]), seen[0]))
         now = _fingerprint(stars)
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = stars.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -215,9 +215,16 @@ def exact_quantiles(
 
 
 def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], direct_rows: int = DIRECT_ROWS) -> list[float]:
-    """The values at 0-based positions of a column's rising order, nulls left out."""
+    """The values at 0-based positions of a column's rising order, nulls and NaN left out.
+
+    A column without values gives None for every position; a position beyond them raises.
+    """
     values, _ = _as_doubles(df, [column])
     base = values.agg(F.count(f"`{column}`").alias("n"), F.min(f"`{column}`").alias("lo"), F.max(f"`{column}`").alias("hi")).first()
+    if not base["n"]:
+        return [None] * len(ranks)
+    if any(not 0 <= r < base["n"] for r in ranks):
+        raise ValueError(f"{column} has {base['n']} values, no positions {sorted(set(ranks))}")
     targets = [_Rank(column, r, base["lo"], base["hi"], proposal=(base["lo"], base["hi"])) for r in sorted(set(ranks))]
     if base["n"] <= direct_rows:
         _gather_all(values, targets)
@@ -226,7 +233,12 @@ def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], direct_row
     return [found[r] for r in ranks]
 
 
+def count_values(df: DataFrame, column: str) -> int:
+    """How many values other than null and NaN a column has."""
+    return _as_doubles(df, [column])[0].agg(F.count(f"`{column}`")).first()[0]
+
+
 def kth_largest(df: DataFrame, column: str, k: int, direct_rows: int = DIRECT_ROWS) -> float | None:
-    """The k-th largest non-null value (1 = maximum), or None when there are fewer."""
-    n = df.agg(F.count(column)).first()[0]
-    return None if n < k else values_at_ranks(df, column, [n - k], direct_rows)[0]
+    """The k-th largest value other than null and NaN (1 = maximum), or None when there are fewer."""
+    n = count_values(df, column)
+    return None if not 0 < k <= n else values_at_ranks(df, column, [n - k], direct_rows)[0]

@@ -15,8 +15,12 @@ MAX_CATEGORIES = 1_000
 SCALED_COLUMNS = ("amount", "oldbalanceOrg", "oldbalanceDest", "origError", "destError", "step")
 
 
-def dedup(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def dedup(df: DataFrame, key: str | None = None) -> DataFrame:
+    """One row of each set of equal rows; with a row ``key``, of rows equal in all else, the lowest key stays."""
+    if key is None or key not in df.columns:
+        return df.dropDuplicates()
+    others = [c for c in df.columns if c != key]
+    return df.groupBy(*others).agg(F.min(key).alias(key)).select(*df.columns)
 
 
 def drop_nonpositive_amount(df: DataFrame) -> DataFrame:

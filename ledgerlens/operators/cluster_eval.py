@@ -67,6 +67,13 @@ def _spread(df: DataFrame, features: Features, label: str, found: Centroids) ->
     ).collect()
 
 
+def _variance_ratio(between: float, within: float, k: int, n: int) -> float | None:
+    """Calinski-Harabasz; undefined for one cluster and where every row is a cluster."""
+    if k < 2 or n == k:
+        return None
+    return (between / (k - 1)) / (within / (n - k)) if within else float("inf")
+
+
 def cluster_quality(df: DataFrame, features: Features, label: str) -> dict[str, float]:
     """Approximate silhouette, Davies-Bouldin and Calinski-Harabasz, plus within-cluster squares.
 
@@ -78,7 +85,8 @@ def cluster_quality(df: DataFrame, features: Features, label: str) -> dict[str,
     mean_distance = [spread[v]["distance"] / spread[v]["n"] for v in found.labels]
     worst = []
     for i, a in enumerate(found.points):
-        ratios = [(mean_distance[i] + mean_distance[j]) / math.dist(a, b) for j, b in enumerate(found.points) if j != i]
+        apart = [(j, math.dist(a, b)) for j, b in enumerate(found.points) if j != i]
+        ratios = [(mean_distance[i] + mean_distance[j]) / distance for j, distance in apart if distance]
         worst.append(max(ratios, default=0.0))
     grand = [sum(p[d] * s for p, s in zip(found.points, found.sizes)) / n for d in range(len(found.points[0]))]
     between = sum(s * math.dist(p, grand) ** 2 for p, s in zip(found.points, found.sizes))
@@ -86,14 +94,14 @@ def cluster_quality(df: DataFrame, features: Features, label: str) -> dict[str,
     return {
         "wcss": within,
         "silhouette": sum(r["silhouette"] or 0.0 for r in spread.values()) / n,
-        "davies_bouldin": sum(worst) / k,
-        "calinski_harabasz": (between / (k - 1)) / (within / (n - k)) if within else float("inf"),
+        "davies_bouldin": sum(worst) / k if k > 1 else None,
+        "calinski_harabasz": _variance_ratio(between, within, k, n),
     }
 
 
 def quality_index(df: DataFrame, features: Features, label: str, index: str) -> DataFrame:
     value = cluster_quality(df, features, label)[index]
-    return df.sparkSession.createDataFrame([(float(value),)], f"{index} double")
+    return df.sparkSession.createDataFrame([(None if value is None else float(value),)], f"{index} double")
 
 
 def cluster_profile_means(df: DataFrame, by: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -135,7 +143,8 @@ def riskiest_cluster(df: DataFrame, by: str, label: str = "isFraud"):
 
 def riskiest_cluster_flag(df: DataFrame, by: str, label: str = "isFraud", name: str = "is_riskiest") -> DataFrame:
     top = riskiest_cluster(df, by, label)
-    return df.withColumn(name, (F.col(by) == F.lit(top[by])).cast("int"))
+    hit = F.lit(False) if top is None else F.col(by).eqNullSafe(F.lit(top[by]))
+    return df.withColumn(name, hit.cast("int"))
 
 
 def cluster_minor_flag(df: DataFrame, by: str, share: float = 0.01) -> DataFrame:

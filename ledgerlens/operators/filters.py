@@ -94,14 +94,14 @@ class Search:
 
 
 def search_mode(text: str) -> Search | None:
-    """Decide the search mode; ids are completed to the TX form and cut to full length."""
+    """Decide the search mode; ids are completed to the TX form, whole ones match exactly."""
     if not text:
         return None
     text = text.strip()
     if ID_TEXT.match(text):
         wanted = "TX" + text.upper().lstrip("T").lstrip("X")
         if len(wanted) >= ID_LENGTH:
-            return Search("id_exact", wanted[:ID_LENGTH])
+            return Search("id_exact", wanted)
         return Search("id_prefix", wanted)
     flag = fixed.SEARCH_KEYWORDS.get(text.lower())
     return Search("keyword", flag) if flag else Search("ilike", text)

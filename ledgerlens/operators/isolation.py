@@ -138,14 +138,13 @@ def isolation_forest_flag(
 ) -> DataFrame:
     """Flag the share ``contamination`` of rows that are easiest to isolate.
 
-    Only the score column is stored to find the exact cut; the second pass applies it.
+    Rows are scored once and stored with their score; the exact cut is applied to them.
     """
     df = spread(df)
     forest = fit_isolation_forest(df, features, keys, trees, sample_rows, seed)
-    score = isolation_score(forest)
-    stored = cut_lineage(df.select(score.alias("score")))
-    cut = exact_quantiles(stored, ["score"], [1 - contamination])["score"][0]
-    return df.withColumn("isolation_score", score).withColumn(name, (F.col("isolation_score") > F.lit(cut)).cast("int"))
+    scored = cut_lineage(df.withColumn("isolation_score", isolation_score(forest)))
+    cut = exact_quantiles(scored, ["isolation_score"], [1 - contamination])["isolation_score"][0]
+    return scored.withColumn(name, (F.col("isolation_score") > F.lit(cut)).cast("int"))
 
 
 def isolation_report(flagged: DataFrame, features: Sequence[str] = ("amount", "origError", "destError"), flag: str = "flag_IsoForest") -> DataFrame:

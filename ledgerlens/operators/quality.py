@@ -5,10 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
-from math import isnan
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -322,34 +319,24 @@ def histogram(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ()
     )
 
 
-PAIRWISE_COLUMNS = 5
-
-
-def _complete(df: DataFrame) -> bool:
-    """More than one row, and no nulls in any column."""
-    present = df.agg(F.count("*").alias("_rows"), *[F.count(f"`{c}`").alias(c) for c in df.columns]).first()
-    return present["_rows"] > 1 and all(present[c] == present["_rows"] for c in df.columns)
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, in long form (both directions).
 
-    Many columns without nulls go through one centred matrix product per partition, merged
-    in a tree. Few columns, or some with nulls, take one aggregate per pair, over the rows
-    that have both values.
+    Each pair takes the rows that have both values, all pairs in one pass of partial
+    aggregates. Null where a column does not vary over them, on the diagonal too.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if len(columns) > PAIRWISE_COLUMNS and _complete(doubles):
-        vectors = doubles.select(array_to_vector(F.array(*columns)).alias("features"))
-        matrix = Correlation.corr(vectors, "features").first()[0].toArray().tolist()
-        rows = [(a, b, None if isnan(matrix[i][j]) else matrix[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-        return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = doubles.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        aggs += [F.covar_pop(a, b).alias(f"c{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}")]
+    wide = doubles.agg(*aggs)
     cells = []
     for i, (a, b) in enumerate(pairs):
+        r = F.try_divide(f"c{i}", F.col(f"x{i}") * F.col(f"y{i}")) if a != b else F.when(F.col(f"x{i}") > 0, F.lit(1.0))
         for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"r{i}").alias("correlation")))
+            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), r.alias("correlation")))
     return wide.select(F.inline(F.array(*cells)))
 
 

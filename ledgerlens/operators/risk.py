@@ -283,10 +283,12 @@ def top_anomalies(df: DataFrame, n: int = 20_000, key: str = "transaction_id") -
     order = [F.desc(c) for c in (*TOP_ORDER, "amount")] + [F.asc(key)]
     taken, kept = 0, F.lit(False)
     for g in groups:
-        same = reduce(lambda a, b: a & b, [F.col(c) == g[c] for c in TOP_ORDER])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(g[c])) for c in TOP_ORDER])
         if taken + g["n"] > n:
             cut = kth_largest(df.filter(same), "amount", n - taken)
-            kept = kept | (same & (F.col("amount") >= F.lit(cut))) if n > taken else kept
+            # Without a cut there are too few amounts: nulls fill up, by id.
+            inside = F.lit(True) if cut is None else F.coalesce(F.col("amount") >= F.lit(cut), F.lit(False))
+            kept = kept | (same & inside) if n > taken else kept
             break
         kept, taken = kept | same, taken + g["n"]
     return df.filter(kept).orderBy(*order).limit(n)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.functions.ordering import with_global_index
-from ledgerlens.functions.quantiles import exact_quantiles, values_at_ranks
+from ledgerlens.functions.quantiles import count_values, exact_quantiles, values_at_ranks
 from ledgerlens.session import cut_lineage
 
 RULE_ORDER = (F.desc, "lift"), (F.desc, "confidence"), (F.desc, "support"), (F.asc, "antecedents_str"), (F.asc, "consequents_str")
@@ -65,7 +65,9 @@ def _rank_boundaries(df: DataFrame, column: str, key: str, q: int) -> list[tuple
     Ranks follow (value, key). Values come from exact order statistics; only where a
     boundary falls inside a group of equal values are that group's keys put in order.
     """
-    total = df.agg(F.count(column)).first()[0]
+    total = count_values(df, column)
+    if not total:
+        return []
     ranks = [(total - 1) * i // q for i in range(1, q)]
     values = values_at_ranks(df, column, ranks)
     x = F.col(column).cast("double")
@@ -99,7 +101,8 @@ def quantile_bins_fixed_labels(df: DataFrame, columns: Sequence[str], key: str,
             for value, divided in _rank_boundaries(df, column, key, q)
         ]
         names = F.array(*[F.lit(f"{column}_{label}") for label in _labels(q)])
-        added[f"{column}_bin"] = F.get(names, reduce(lambda a, b: a + b, [c.cast("int") for c in beyond]))
+        place = reduce(lambda a, b: a + b, [c.cast("int") for c in beyond], F.lit(0))
+        added[f"{column}_bin"] = F.get(names, F.when(x.isNotNull() & ~F.isnan(x), place))
     return df.withColumns(added)
 
 

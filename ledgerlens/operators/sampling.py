@@ -111,12 +111,12 @@ def systematic_every_k(df: DataFrame, order: Sequence[str], target: int = 100_00
     """Every k-th row of a stated unique order, with k = rows // target but at least 1.
 
     Only the order columns are sorted and numbered. The picked keys, fewer than twice the
-    target, are broadcast to fetch their rows.
+    target, fetch their rows.
     """
     k = max(1, df.count() // target)
     if k == 1:
         return df
     numbered = with_global_index(df.select(*order), *order, name="_n")
-    picked = F.broadcast(numbered.filter(F.col("_n") % k == 0).drop("_n"))
+    picked = numbered.filter(F.col("_n") % k == 0).drop("_n")
     same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(picked[c]) for c in order])
     return df.join(picked, same, "left_semi")

@@ -20,7 +20,7 @@ from ledgerlens.functions.distance import Features, nearest, vector
 from ledgerlens.functions.skew import join_by_key
 from ledgerlens.operators import sampling
 from ledgerlens.operators.cleaning import model_input, scale, standard_scale_fit
-from ledgerlens.operators.cluster_eval import cluster_quality, width_of
+from ledgerlens.operators.cluster_eval import cluster_quality
 from ledgerlens.operators.filters import Filters, all_of
 from ledgerlens.session import cut_lineage, spread
 
@@ -49,48 +49,19 @@ def _train(points: DataFrame, k: int, seeds: Sequence[int], max_iter: int, weigh
         return min(pool.map(inheritable_thread_target(points.sparkSession)(one), seeds))
 
 
-def _lloyd_pass(df: DataFrame, features: Features, centres: list[list[float]]) -> tuple[float, list[list[float]]]:
-    """Assign every row, return the cost and the mean of each cluster's rows: one small aggregation."""
-    found = nearest(features, centres)
-    dims = width_of(df, features)
-    values = [F.get(F.col(features), F.lit(i)) if isinstance(features, str) else F.col(features[i]) for i in range(dims)]
-    assigned = df.select(found.alias("found"), *[v.cast("double").alias(f"x{i}") for i, v in enumerate(values)])
-    rows = assigned.groupBy("found.id").agg(
-        F.sum("found.distance").alias("cost"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(dims)]
-    ).collect()
-    moved = [list(c) for c in centres]
-    for r in rows:
-        moved[r["id"]] = [r[f"m{i}"] for i in range(dims)]
-    return sum(r["cost"] for r in rows), moved
-
-
 def fit_kmeans(
     df: DataFrame, features: Features, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 100,
-    weight: str | None = None, fit_rows: int = 2_000_000, tolerance: float = 1e-4,
+    weight: str | None = None,
 ) -> KMeansFit:
-    """Best of several k-means runs, always settled on all rows.
-
-    Runs compete on all rows of a table of up to ``fit_rows``. On a larger one they
-    compete on a uniform sample of that size; the winner is then refined by passes over
-    the whole table until no centre moves, instead of paying every run's passes there.
-    """
-    total = df.count()
-    sampled = total > fit_rows and not weight
-    source = df.sample(fraction=fit_rows / total, seed=seed) if sampled else df
+    """Best of several k-means runs, each over all rows at every size."""
     columns = [array_to_vector(vector(features)).alias("features")]
     if weight:
         columns.append(F.col(weight).cast("double").alias("weight"))
-    points = spread(source.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    points = spread(df.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cost, centres = _train(points, k, range(seed, seed + restarts), max_iter, bool(weight))
     finally:
         points.unpersist()
-    for _ in range(max_iter if sampled else 0):
-        cost, moved = _lloyd_pass(df, features, centres)
-        shift = max(math.dist(a, b) for a, b in zip(centres, moved))
-        centres = moved
-        if shift <= tolerance:
-            break
     return KMeansFit(features, sorted(centres), cost)
 
 

@@ -161,7 +161,7 @@ def translate_categories(spark, folder):
 
 @query(
     "assign_row_id",
-    "SELECT 'TX' || lpad(CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS VARCHAR), 8, '0') AS transaction_id, o_orderkey FROM orders",
+    "SELECT printf('TX%08d', row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) AS transaction_id, o_orderkey FROM orders",
 )
 
 

@@ -31,7 +31,7 @@ TX = """WITH RECURSIVE b AS (
   CASE WHEN dp = 'M' THEN 0.0 ELSE round(amount * (k % 7), 2) END AS od
  FROM e
 ), tx AS (
-SELECT concat('TX', lpad(CAST(k AS VARCHAR(20)), 8, '0')) AS transaction_id,
+SELECT printf('TX%08d', k) AS transaction_id,
  CAST(date_diff('day', DATE '1995-01-01', d) + 1 AS INT) AS step, type, amount,
  concat('C', CAST(ck AS VARCHAR(20))) AS nameOrig, ob AS oldbalanceOrg, nb AS newbalanceOrig,
  concat(dp, CAST((ck * 31 + k) % 5000 AS VARCHAR(20))) AS nameDest, od AS oldbalanceDest,
@@ -46,9 +46,9 @@ SELECT *, abs(oldbalanceOrg - amount - newbalanceOrig) AS origError,
  abs(oldbalanceDest + amount - newbalanceDest) AS destError,
  CASE WHEN nameDest LIKE 'M%' THEN 1 ELSE 0 END AS isDestMerchant,
  CASE WHEN oldbalanceOrg > 0 AND newbalanceOrig = 0 THEN 1 ELSE 0 END AS origDrainedToZero,
- CAST(CAST(substr(transaction_id, 3) AS INT) % 5 AS INT) AS cluster_kmeans,
- CASE WHEN CAST(substr(transaction_id, 3) AS INT) % 150 = 0 THEN 1 ELSE 0 END AS flag_IsoForest,
- CASE WHEN CAST(substr(transaction_id, 3) AS INT) % 100 = 0 THEN 1 ELSE 0 END AS is_birch_hdbscan_outlier
+ CAST(CAST(substr(transaction_id, 3) AS BIGINT) % 5 AS INT) AS cluster_kmeans,
+ CASE WHEN CAST(substr(transaction_id, 3) AS BIGINT) % 150 = 0 THEN 1 ELSE 0 END AS flag_IsoForest,
+ CASE WHEN CAST(substr(transaction_id, 3) AS BIGINT) % 100 = 0 THEN 1 ELSE 0 END AS is_birch_hdbscan_outlier
 FROM tx WHERE amount > 0
 )"""
 
@@ -150,7 +150,7 @@ _ITEMS = ", ".join(
 
 BASKETS = BINNED + f""", baskets AS (
  SELECT transaction_id, list_sort(list_filter([{_ITEMS}], lambda i: i IS NOT NULL)) AS items FROM binned
-), collapsed AS (SELECT row_number() OVER () AS bid, items, count(*) AS n FROM baskets GROUP BY items),
+), collapsed AS MATERIALIZED (SELECT row_number() OVER () AS bid, items, count(*) AS n FROM baskets GROUP BY items),
 total AS (SELECT sum(n)::DOUBLE AS rows FROM collapsed)"""
 
 ITEMSETS = BASKETS + """, single AS (SELECT bid, n, unnest(items) AS item FROM collapsed),
@@ -161,16 +161,17 @@ counted AS (
  UNION ALL
  SELECT [a.item, b.item, c.item], sum(a.n)::BIGINT FROM single a JOIN single b ON a.bid = b.bid AND a.item < b.item
   JOIN single c ON c.bid = b.bid AND b.item < c.item GROUP BY a.item, b.item, c.item
-), itemsets AS (SELECT itemsets, array_to_string(itemsets, ', ') AS itemsets_str, n, n / rows AS support FROM counted, total)"""
+), itemsets AS MATERIALIZED (SELECT itemsets, array_to_string(itemsets, ', ') AS itemsets_str, n, n / rows AS support FROM counted, total)"""
 
 ALL_RULES = ITEMSETS + """, masks AS (
- SELECT itemsets, n, unnest(generate_series(1, (1 << len(itemsets)) - 2)) AS mask FROM itemsets WHERE len(itemsets) > 1
+ SELECT itemsets, n, unnest(generate_series(1, (1 << len(itemsets)) - 2)) AS mask FROM itemsets
+  WHERE len(itemsets) > 1 AND support >= 0.0001
 ), sides AS (
  SELECT n, itemsets, mask,
   array_to_string(list_filter(itemsets, lambda x, i: (mask >> (i - 1)) & 1 = 1), ', ') AS antecedents_str,
   array_to_string(list_filter(itemsets, lambda x, i: (mask >> (i - 1)) & 1 = 0), ', ') AS consequents_str,
   bit_count(mask)::INT AS antecedent_len, (len(itemsets) - bit_count(mask))::INT AS consequent_len FROM masks
-), measured AS (
+), measured AS MATERIALIZED (
  SELECT s.*, a.n / rows AS antecedent_support, c.n / rows AS consequent_support, s.n / rows AS support,
   s.n::DOUBLE / a.n AS confidence, (s.n::DOUBLE / a.n) / (c.n / rows) AS lift,
   s.n / rows - (a.n / rows) * (c.n / rows) AS leverage,

@@ -20,7 +20,7 @@ TYPES = ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER")
 
 def engineer(raw: DataFrame) -> DataFrame:
     """Cleaned ledger rows with engineered columns; whole-row duplicates are dropped."""
-    kept = cleaning.drop_nonpositive_amount(cleaning.dedup(raw))
+    kept = cleaning.drop_nonpositive_amount(cleaning.dedup(raw, "transaction_id"))
     return cleaning.drop_columns(cleaning.ledger_features(kept), "isFlaggedFraud", "nameOrig", "nameDest")
 
 

@@ -56,7 +56,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
     drained = (F.col("ob") > 0) & (F.col("nb") == 0) & (F.col("k") % 4 == 0)
     return settled.select(
-        F.concat(F.lit("TX"), F.lpad(F.col("k").cast("string"), 8, "0")).alias("transaction_id"),
+        F.format_string("TX%08d", F.col("k").cast("long")).alias("transaction_id"),
         (F.datediff("day", F.lit("1995-01-01").cast("date")) + 1).alias("step"),
         "type",
         "amount",
@@ -79,7 +79,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 def scoring_input(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger rows with a positive amount, engineered columns and stand-in model outputs."""
     rows = ledger_features(transactions(spark, folder).filter(F.col("amount") > 0))
-    number = F.substring("transaction_id", 3, 20).cast("int")
+    number = F.substring("transaction_id", 3, 20).cast("long")
     return rows.withColumns(
         {
             "isDestMerchant": F.col("isDestMerchant").cast("int"),

@@ -62,12 +62,12 @@ def table_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def keyed_overwrite_sink(df: DataFrame, path: str, key: str, version: str | None = None) -> DataFrame:
-    """Replace a table with one row per key; the highest ``version`` of a key wins."""
+    """Replace a table with one row per key; the highest ``version`` of a key wins, among equals the row that sorts last."""
     if version is None:
-        latest = df.dropDuplicates([key])
+        latest = df.groupBy(key).agg(F.max(F.struct(*df.columns)).alias("row")).select("row.*")
     else:
         whole = F.struct(*df.columns)
-        latest = df.groupBy(key).agg(F.max_by(whole, F.col(version)).alias("row")).select("row.*")
+        latest = df.groupBy(key).agg(F.max_by(whole, F.struct(F.col(version), whole)).alias("row")).select("row.*")
     return save_parquet(latest, path)
 
 
