@@ -123,10 +123,10 @@ class CountTree:
         half = len(order) // 2
         return (None, (self._load(order[:half]), self._load(order[half:])), *known)
 
-    def best(self, like: Likeness, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def best(self, like: Likeness, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For every row its ``most`` best partners by bound, and whether there were more.
 
-        Returns rows, partners, and per entry whether the row has partners left out.
+        Returns rows, partners, bounds, and per entry whether the row has partners left out.
         """
         rows, partners, scores = (np.empty(0, t) for t in (np.int64, np.int64, float))
         more = np.zeros(len(self.points), bool)
@@ -153,7 +153,7 @@ class CountTree:
                 settle()
                 held = 0
         settle()
-        return rows, partners, more[rows]
+        return rows, partners, scores, more[rows]
 
     def pairs(self, like: Likeness) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Pairs of rows of different groups whose summed minima allow a link, each pair once, with the bound."""
@@ -221,13 +221,13 @@ def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    pa.array([point(s).astype(np.int32) for s in sets], pa.list_(pa.int32())),
+                    pa.array([point(s).astype("<u4").tobytes() for s in sets], pa.binary()),
                 ],
                 names=["doc_id", "size", "hashes", "point"],
             )
 
     texts = packed(df.filter(F.col("doc_id").isNotNull()), "doc_id").join(wanted, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "doc_id bigint, size bigint, hashes array<bigint>, point array<int>")
+    return texts.mapInArrow(run, "doc_id bigint, size bigint, hashes array<bigint>, point binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
@@ -243,42 +243,65 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
     """Pairs (u, v, more) from the trees of the blocks: the best partners of every document.
 
-    ``rows`` are (key, doc_id, component, size, point); ``more`` says that a document had
-    partners beyond ``most`` in a block.
+    ``rows`` are (key, doc_id, component, size, point); ``more`` says that a document has
+    partners beyond its ``most`` best ones.
     """
+    names = ["doc_id", "partner", "bound", "more"]
 
-    def best(block: list[dict]) -> pa.RecordBatch:
-        ids = np.array([r["doc_id"] for r in block])
-        points = np.array([r["point"] for r in block], np.int32)
-        tree = CountTree(points, np.array([r["size"] for r in block]), np.array([r["component"] for r in block]))
-        a, b, more = tree.best(like, most)
-        u, v = ids[a], ids[b]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(more)], names=["u", "v", "more"]
-        )
+    def best(ids: np.ndarray, component: np.ndarray, sizes: np.ndarray, points: list[bytes]) -> pa.RecordBatch:
+        counts = np.frombuffer(b"".join(points), "<u4").reshape(len(points), POINT_GROUPS).astype(np.int32)
+        a, b, bound, more = CountTree(counts, sizes, component).best(like, most)
+        return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(bound), pa.array(more)], names=names)
 
     def run(batches):
-        block: list[dict] = []
+        held: pa.Table | None = None
         for batch in batches:
-            for row in batch.to_pylist():
-                if block and block[0]["key"] != row["key"]:
-                    yield best(block)
-                    block = []
-                block.append(row)
-        if block:
-            yield best(block)
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            keys = held.column("key").to_numpy()
+            # The last block may go on in the next batch.
+            whole = int(np.searchsorted(keys, keys[-1]))
+            yield from blocks(held.slice(0, whole))
+            held = held.slice(whole)
+        if held is not None:
+            yield from blocks(held)
+
+    def blocks(rows: pa.Table):
+        if not rows.num_rows:
+            return
+        keys, ids, component, sizes = (rows.column(c).to_numpy() for c in ("key", "doc_id", "component", "size"))
+        points = rows.column("point").to_pylist()
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+            yield best(ids[low:high], component[low:high], sizes[low:high], points[low:high])
 
     dealt = rows.select("key", "doc_id", "component", "size", "point").repartition("key").sortWithinPartitions("key")
-    pairs = dealt.mapInArrow(run, "u bigint, v bigint, more boolean")
-    return pairs.groupBy("u", "v").agg(F.max("more").alias("more"))
+    partners = dealt.mapInArrow(run, "doc_id bigint, partner bigint, bound double, more boolean")
+    partners = partners.groupBy("doc_id", "partner").agg(F.max("bound").alias("bound"), F.max("more").alias("more"))
+    order = Window.partitionBy("doc_id").orderBy(F.desc("bound"), "partner")
+    placed = partners.withColumns(
+        {"place": F.row_number().over(order), "left_out": F.max("more").over(Window.partitionBy("doc_id"))}
+    )
+    tried = placed.filter(F.col("place") <= most + 1)  # one beyond them shows that there are more
+    ends = [F.least("doc_id", "partner").alias("u"), F.greatest("doc_id", "partner").alias("v")]
+    beyond = F.col("left_out") | (F.col("place") > most)
+    return tried.select(*ends, beyond.alias("more")).groupBy("u", "v").agg(F.max("more").alias("more"))
 
 
 def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     """(key, doc_id, component, size, point) of the blocks that hold more than one component."""
     placed = members.select("key", "doc_id").join(found, "doc_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-    ends = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = placed.join(ends.filter("low != high").select("key"), "key", "left_semi")
+    blocks = placed.groupBy("key").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("first"),
+        F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("second"),
+    )
+    # Blocks with the same members are one.
+    apart = blocks.filter("low != high").groupBy("n", "first", "second").agg(F.min("key").alias("key"))
+    rows = placed.join(apart.select("key"), "key", "left_semi")
     return rows.join(sets.select("doc_id", "size", "point"), "doc_id")
 
 
