@@ -35,7 +35,8 @@ SPARE_GROUPS = 2
 POINT_GROUPS = 128
 LEAF = 32
 FIRST_PARTNERS = 1
-MORE_PARTNERS = 8
+MORE_PARTNERS = 16
+PARITY_CELLS = 2048
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,9 @@ class Likeness:
         """The smallest intersection of linked sets with these summed sizes."""
         return -(-self.share * sizes // (self.share + self.share_of))
 
+    def may_link(self, differing: Column, sizes: Column) -> Column:
+        return differing * (self.share + self.share_of) <= sizes * (self.share_of - self.share)
+
     def linked(self, shared: Column, sizes: Column) -> Column:
         return shared * self.share_of >= (sizes - shared) * self.share
 
@@ -105,6 +109,16 @@ def point(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes >> _U(64 - POINT_GROUPS.bit_length() + 1)).astype(np.int64), minlength=POINT_GROUPS)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each cell of a finer cut, whether a set has an odd number of shingles in it, as 64-bit words.
+
+    Two sets differ in at least as many shingles as their parities do in cells.
+    """
+    cells = (hashes >> _U(64 - PARITY_CELLS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(cells, minlength=PARITY_CELLS) % 2 == 1
+    return np.packbits(odd).view(np.int64)
+
+
 class CountTree:
     """An R-tree over count vectors, bulk-loaded by halving along the widest coordinate."""
 
@@ -222,22 +236,31 @@ def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([point(s).astype("<u4").tobytes() for s in sets], pa.binary()),
+                    pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "size", "hashes", "point"],
+                names=["doc_id", "size", "hashes", "point", "parity"],
             )
 
     texts = packed(df.filter(F.col("doc_id").isNotNull()), "doc_id").join(wanted, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "doc_id bigint, size bigint, hashes array<bigint>, point binary")
+    return texts.mapInArrow(run, "doc_id bigint, size bigint, hashes array<bigint>, point binary, parity array<bigint>")
+
+
+def _joined(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """The pairs (u, v) with their sizes (u_size, v_size) and one more column of both sets."""
+    for end in ("u", "v"):
+        side = sets.select(F.col("doc_id").alias(end), F.col("size").alias(f"{end}_size"), F.col(column).alias(f"{end}_{column}"))
+        pairs = pairs.join(side, end)
+    return pairs
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (u, v) whose sets are linked."""
-    side = sets.select("doc_id", "size", "hashes")
-    left = side.select(F.col("doc_id").alias("u"), F.col("size").alias("su"), F.col("hashes").alias("hu"))
-    right = side.select(F.col("doc_id").alias("v"), F.col("size").alias("sv"), F.col("hashes").alias("hv"))
-    shared = F.size(F.array_intersect("hu", "hv")).cast("long")
-    both = pairs.join(left, "u").join(right, "v")
-    return both.filter(like.linked(shared, F.col("su") + F.col("sv"))).select("u", "v")
+    """The pairs (u, v) whose sets are linked; parities first, so that few sets travel."""
+    sizes = F.col("u_size") + F.col("v_size")
+    odd = F.zip_with("u_parity", "v_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
+    differing = F.aggregate(odd, F.lit(0).cast("long"), lambda n, x: n + x)
+    near = _joined(pairs, sets, "parity").filter(like.may_link(differing, sizes)).select("u", "v")
+    shared = F.size(F.array_intersect("u_hashes", "v_hashes")).cast("long")
+    return _joined(near, sets, "hashes").filter(like.linked(shared, sizes)).select("u", "v")
 
 
 def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
