@@ -348,7 +348,7 @@ def test_empty_filter_result_has_zero_rates(desk):
     "typed,mode,operand",
     [
         ("TX00000010", "id_exact", "TX00000010"),
-        ("tx0000001099", "id_exact", "TX00000010"),
+        ("tx0000001099", "id_exact", "TX0000001099"),
         ("TX0001", "id_prefix", "TX0001"),
         ("T12", "id_prefix", "TX12"),
         ("hdbscan", "keyword", "flag_HDBSCAN"),
