@@ -7,6 +7,7 @@ get their own output row unless the operator's docstring says otherwise.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,17 @@ def whole_text(column: str = "text") -> Column:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and go on from there."""
-    return cut_lineage(df)
+    """Write ``df`` to the shared folder once and go on from there.
+
+    Shuffle files stay on the executors until the driver collects the plans they belong to,
+    which nothing else makes it do between the stages of one query.
+    """
+    spark = df.sparkSession
+    written = cut_lineage(df)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return written
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

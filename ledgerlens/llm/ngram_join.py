@@ -28,10 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.components import connected_components
-from ledgerlens.llm.common import mix, packed, prepare, shingle_sets, stored, unpack
+from ledgerlens.llm.common import chunks, mix, packed, prepare, shingle_sets, stored, unpack
 
 _U = np.uint64
 SPARE_GROUPS = 2
+SPARE_SHARE = 16
 POINT_GROUPS = 128
 LEAF = 32
 FIRST_PARTNERS = 1
@@ -51,10 +52,14 @@ class Likeness:
         """The smallest intersection of linked sets with these summed sizes."""
         return -(-self.share * sizes // (self.share + self.share_of))
 
+    def most_differing(self, sizes: int) -> int:
+        """The most shingles that only one of two linked sets with these summed sizes can have."""
+        return sizes * (self.share_of - self.share) // (self.share_of + self.share)
+
     def may_link(self, differing: Column, sizes: Column) -> Column:
         return differing * (self.share + self.share_of) <= sizes * (self.share_of - self.share)
 
-    def linked(self, shared: Column, sizes: Column) -> Column:
+    def linked(self, shared: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return shared * self.share_of >= (sizes - shared) * self.share
 
 
@@ -78,29 +83,35 @@ def _levels_of(size: int, like: Likeness) -> list[int]:
 @lru_cache(maxsize=256)
 def _group_borders(level: int, like: Likeness) -> np.ndarray:
     """Borders of the hash space: more groups than a linked pair of this level can differ in."""
-    largest = _level_starts(like)[level + 1] - 1
-    groups = largest * (like.share_of - like.share) // like.share + 1 + SPARE_GROUPS
+    differing = like.most_differing(2 * (_level_starts(like)[level + 1] - 1))
+    groups = differing + differing // SPARE_SHARE + 1 + SPARE_GROUPS
     return np.array([(g << 64) // groups for g in range(1, groups)], _U)
 
 
 def block_keys(hashes: np.ndarray, like: Likeness) -> np.ndarray:
     """Keys of the contents of a set's groups, on every level it meets others on.
 
-    A set with at most ``SPARE_GROUPS`` empty groups leaves them out: as many groups more
-    than needed are equal in any linked pair.
+    A set gives its first filled groups, one more than it and a partner can differ in. Of two
+    linked sets the one that stops earlier has a group among its own that is equal in both,
+    and the other one, which goes on further, gives that group too. A set with fewer filled
+    groups gives all groups, empty ones included.
     """
     if not len(hashes):
         return np.empty(0, np.int64)
     keys = []
+    starts, size = _level_starts(like), len(hashes)
     with np.errstate(over="ignore"):
         summed = np.concatenate([np.zeros(1, _U), np.cumsum(mix(hashes))])
-        for level in _levels_of(len(hashes), like):
-            cuts = np.concatenate([[0], np.searchsorted(hashes, _group_borders(level, like)), [len(hashes)]])
+        for level in _levels_of(size, like):
+            largest_partner = min(size * like.share_of // like.share, starts[level + 1] - 1)
+            wanted = like.most_differing(size + largest_partner) + 1
+            cuts = np.concatenate([[0], np.searchsorted(hashes, _group_borders(level, like)), [size]])
             sizes = np.diff(cuts)
-            content = summed[cuts[1:]] - summed[cuts[:-1]] + sizes.astype(_U)
-            places = np.arange(len(sizes), dtype=_U) + (_U(level + 1) << _U(40))
-            key = mix(content ^ mix(places))
-            keys.append(key[sizes > 0] if (sizes == 0).sum() <= SPARE_GROUPS else key)
+            places = np.flatnonzero(sizes)[:wanted]
+            if len(places) < wanted:
+                places = np.arange(len(sizes))
+            content = summed[cuts[places + 1]] - summed[cuts[places]] + sizes[places].astype(_U)
+            keys.append(mix(content ^ mix(places.astype(_U) + (_U(level + 1) << _U(40)))))
     return np.concatenate(keys).view(np.int64)
 
 
@@ -205,7 +216,7 @@ _SET_ID = ["n_shingles", "set_a", "set_b"]
 
 
 def signatures(df: DataFrame, like: Likeness) -> DataFrame:
-    """Per row: doc_id, set size, 128-bit id of the set, block keys."""
+    """Per row: doc_id, set size, 128-bit id of the set."""
     prepare(df.sparkSession)
 
     def run(batches):
@@ -215,17 +226,33 @@ def signatures(df: DataFrame, like: Likeness) -> DataFrame:
                 a = np.array([mix(s).sum() for s in sets], _U).view(np.int64)
                 b = np.array([mix(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum() for s in sets], _U).view(np.int64)
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            keys = pa.array([block_keys(s, like) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), sizes, pa.array(a), pa.array(b), keys], names=["doc_id", *_SET_ID, "keys"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(a), pa.array(b)], names=["doc_id", *_SET_ID])
+
+    return df.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint")
 
-    schema = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>"
-    return df.select("doc_id", "text").mapInArrow(run, schema)
+
+def _texts_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and compressed text of the wanted documents."""
+    return packed(df.filter(F.col("doc_id").isNotNull()), "doc_id").join(wanted, "doc_id", "left_semi")
+
+
+def _keyed(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
+    """(key, doc_id) of the wanted documents."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            texts = unpack(batch.column(1))
+            for low, high in chunks(texts):
+                keys = [block_keys(s, like) for s in shingle_sets(texts[low:high], like.words)]
+                owners = np.repeat(ids[low:high], [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(owners)], names=["key", "doc_id"])
+
+    return _texts_of(df, wanted).mapInArrow(run, "key bigint, doc_id bigint")
 
 
 def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id, set and point of the wanted documents."""
+    """doc_id, set size, point, parities and compressed text of the wanted documents."""
 
     def run(batches):
         for batch in batches:
@@ -234,15 +261,15 @@ def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([point(s).astype("<u4").tobytes() for s in sets], pa.binary()),
                     pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
+                    batch.column(1),
                 ],
-                names=["doc_id", "size", "hashes", "point", "parity"],
+                names=["doc_id", "size", "point", "parity", "packed"],
             )
 
-    texts = packed(df.filter(F.col("doc_id").isNotNull()), "doc_id").join(wanted, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "doc_id bigint, size bigint, hashes array<bigint>, point binary, parity array<bigint>")
+    schema = "doc_id bigint, size bigint, point binary, parity array<bigint>, packed binary"
+    return _texts_of(df, wanted).mapInArrow(run, schema)
 
 
 def _joined(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -254,13 +281,21 @@ def _joined(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (u, v) whose sets are linked; parities first, so that few sets travel."""
+    """The pairs (u, v) whose sets are linked; parities first, so that few texts travel."""
+
+    def run(batches):
+        for batch in batches:
+            u_sets, v_sets = (shingle_sets(unpack(batch.column(c)), like.words) for c in (2, 3))
+            sizes = np.array([len(u) + len(v) for u, v in zip(u_sets, v_sets)], np.int64)
+            shared = np.array([len(np.intersect1d(u, v, assume_unique=True)) for u, v in zip(u_sets, v_sets)], np.int64)
+            yield batch.select([0, 1]).filter(pa.array(like.linked(shared, sizes), pa.bool_()))
+
     sizes = F.col("u_size") + F.col("v_size")
     odd = F.zip_with("u_parity", "v_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
     differing = F.aggregate(odd, F.lit(0).cast("long"), lambda n, x: n + x)
     near = _joined(pairs, sets, "parity").filter(like.may_link(differing, sizes)).select("u", "v")
-    shared = F.size(F.array_intersect("u_hashes", "v_hashes")).cast("long")
-    return _joined(near, sets, "hashes").filter(like.linked(shared, sizes)).select("u", "v")
+    texts = _joined(near, sets, "packed").select("u", "v", "u_packed", "v_packed")
+    return texts.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
 def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
@@ -328,9 +363,8 @@ def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFra
     return rows.join(sets.select("doc_id", "size", "point"), "doc_id")
 
 
-def _in_blocks(representatives: DataFrame) -> DataFrame:
+def _in_blocks(keyed: DataFrame) -> DataFrame:
     """(key, doc_id, before): members of blocks with at least two documents, and the member before each."""
-    keyed = representatives.select("doc_id", F.explode("keys").alias("key"))
     order = Window.partitionBy("key").orderBy("doc_id")
     placed = keyed.select(
         "key", "doc_id", F.lag("doc_id").over(order).alias("before"), F.lead("doc_id").over(order).alias("after")
@@ -347,8 +381,8 @@ def linked_groups(df: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """
     known = stored(signatures(df, like))
     some = known.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    representatives = some.groupBy(*_SET_ID).agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
-    members = stored(_in_blocks(representatives))
+    representatives = some.groupBy(*_SET_ID).agg(F.min("doc_id").alias("doc_id"))
+    members = stored(_in_blocks(_keyed(df, representatives, like)))
     sets = stored(_sets(df, members.select("doc_id").distinct(), like))
 
     # Chains: every document with the one that is before it in most of its blocks.
