@@ -387,3 +387,19 @@ def test_nearest_neighbours_of_hard_rows(spark):
     found = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in nearest.search(df).orderBy("rank").collect()]
     assert found == [(0, 1, 1, 0.0), (0, 2, 7, 0.0), (0, 3, 6, 1.0)]
     assert nearest.search(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("like", [ngram_join.Likeness(), ngram_join.Likeness(words=5, share=80)])
+def test_linked_sets_share_a_block(like):
+    rng = np.random.default_rng(3)
+    linked = 0
+    for size in rng.integers(1, 300, 1500).tolist():
+        one = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        changed = int(rng.integers(0, size // 4 + 2))
+        kept = rng.permutation(one)[: max(len(one) - int(rng.integers(0, changed + 1)), 1)]
+        other = np.unique(np.concatenate([kept, rng.integers(0, 1 << 64, changed // 2, dtype=np.uint64)]))
+        shared, sizes = len(np.intersect1d(one, other)), len(one) + len(other)
+        if like.linked(np.int64(shared), np.int64(sizes)):
+            linked += 1
+            assert len(np.intersect1d(ngram_join.block_keys(one, like), ngram_join.block_keys(other, like)))
+    assert linked > 100
