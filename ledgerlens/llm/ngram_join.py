@@ -82,8 +82,9 @@ def _levels_of(size: int, like: Likeness) -> list[int]:
 
 @lru_cache(maxsize=256)
 def _group_borders(level: int, like: Likeness) -> np.ndarray:
-    """Borders of the hash space: more groups than a linked pair of this level can differ in."""
-    differing = like.most_differing(2 * (_level_starts(like)[level + 1] - 1))
+    """Borders of the hash space: more groups than a linked pair can differ in whose smaller set is of this level."""
+    end = _level_starts(like)[level + 1] - 1
+    differing = like.most_differing(end + end * like.share_of // like.share)
     groups = differing + differing // SPARE_SHARE + 1 + SPARE_GROUPS
     return np.array([(g << 64) // groups for g in range(1, groups)], _U)
 
@@ -94,7 +95,8 @@ def block_keys(hashes: np.ndarray, like: Likeness) -> np.ndarray:
     A set gives its first filled groups, one more than it and a partner can differ in. Of two
     linked sets the one that stops earlier has a group among its own that is equal in both,
     and the other one, which goes on further, gives that group too. A set with fewer filled
-    groups gives all groups, empty ones included.
+    groups gives all groups, empty ones included. Sets meet on the level of the smaller one,
+    whose larger partners may be of the next level.
     """
     if not len(hashes):
         return np.empty(0, np.int64)
@@ -103,7 +105,8 @@ def block_keys(hashes: np.ndarray, like: Likeness) -> np.ndarray:
     with np.errstate(over="ignore"):
         summed = np.concatenate([np.zeros(1, _U), np.cumsum(mix(hashes))])
         for level in _levels_of(size, like):
-            largest_partner = min(size * like.share_of // like.share, starts[level + 1] - 1)
+            end = starts[level + 1] - 1
+            largest_partner = size * like.share_of // like.share if size <= end else end
             wanted = like.most_differing(size + largest_partner) + 1
             cuts = np.concatenate([[0], np.searchsorted(hashes, _group_borders(level, like)), [size]])
             sizes = np.diff(cuts)

@@ -403,3 +403,16 @@ def test_linked_sets_share_a_block(like):
             linked += 1
             assert len(np.intersect1d(ngram_join.block_keys(one, like), ngram_join.block_keys(other, like)))
     assert linked > 100
+
+
+@pytest.mark.parametrize("like", [ngram_join.Likeness(), ngram_join.Likeness(words=5, share=80)])
+def test_linked_sets_of_any_two_sizes_share_a_block(like):
+    rng = np.random.default_rng(5)
+    for small in range(1, 150):
+        for large in range(small, small * like.share_of // like.share + 1):
+            shared = int(like.least_overlap(np.int64(small + large)))  # as different as linked sets can be
+            for _ in range(6):
+                hashes = rng.integers(0, 1 << 64, small + large - shared, dtype=np.uint64)
+                one, other = np.sort(hashes[:small]), np.sort(hashes[small - shared :])
+                assert like.linked(np.int64(shared), np.int64(small + large)) and len(one) == small and len(other) == large
+                assert len(np.intersect1d(ngram_join.block_keys(one, like), ngram_join.block_keys(other, like))), (small, large)
