@@ -218,6 +218,14 @@ class CountTree:
 _SET_ID = ["n_shingles", "set_a", "set_b"]
 
 
+def _set_ids(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Both halves of the 128-bit ids of sets."""
+    with np.errstate(over="ignore"):
+        a = np.array([mix(s).sum() for s in sets], _U).view(np.int64)
+        b = np.array([mix(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum() for s in sets], _U).view(np.int64)
+    return pa.array(a), pa.array(b)
+
+
 def signatures(df: DataFrame, like: Likeness) -> DataFrame:
     """Per row: doc_id, set size, 128-bit id of the set."""
     prepare(df.sparkSession)
@@ -225,11 +233,8 @@ def signatures(df: DataFrame, like: Likeness) -> DataFrame:
     def run(batches):
         for batch in batches:
             sets = shingle_sets([(t or "").encode() for t in batch.column(1).to_pylist()], like.words)
-            with np.errstate(over="ignore"):
-                a = np.array([mix(s).sum() for s in sets], _U).view(np.int64)
-                b = np.array([mix(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum() for s in sets], _U).view(np.int64)
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(a), pa.array(b)], names=["doc_id", *_SET_ID])
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, *_set_ids(sets)], names=["doc_id", *_SET_ID])
 
     return df.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint")
 
@@ -240,7 +245,7 @@ def _texts_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _keyed(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
-    """(key, doc_id) of the wanted documents."""
+    """(key, doc_id) of the wanted documents, each once however often its rows repeat."""
 
     def run(batches):
         for batch in batches:
@@ -251,11 +256,12 @@ def _keyed(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                 owners = np.repeat(ids[low:high], [len(k) for k in keys])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(owners)], names=["key", "doc_id"])
 
-    return _texts_of(df, wanted).mapInArrow(run, "key bigint, doc_id bigint")
+    keyed = _texts_of(df, wanted).mapInArrow(run, "key bigint, doc_id bigint")
+    return keyed.repartition("key").dropDuplicates(["key", "doc_id"])
 
 
 def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id, set size, point, parities and compressed text of the wanted documents."""
+    """doc_id, set size and id, point, parities and compressed text of the wanted documents' rows."""
 
     def run(batches):
         for batch in batches:
@@ -267,11 +273,12 @@ def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                     pa.array([point(s).astype("<u4").tobytes() for s in sets], pa.binary()),
                     pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                     batch.column(1),
+                    *_set_ids(sets),
                 ],
-                names=["doc_id", "size", "point", "parity", "packed"],
+                names=["doc_id", "size", "point", "parity", "packed", "set_a", "set_b"],
             )
 
-    schema = "doc_id bigint, size bigint, point binary, parity array<bigint>, packed binary"
+    schema = "doc_id bigint, size bigint, point binary, parity array<bigint>, packed binary, set_a bigint, set_b bigint"
     return _texts_of(df, wanted).mapInArrow(run, schema)
 
 
@@ -387,11 +394,19 @@ def linked_groups(df: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     representatives = some.groupBy(*_SET_ID).agg(F.min("doc_id").alias("doc_id"))
     members = stored(_in_blocks(_keyed(df, representatives, like)))
     sets = stored(_sets(df, members.select("doc_id").distinct(), like))
+    repeated = some.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeats = not repeated.isEmpty()
+    if repeats:
+        sets = stored(sets.dropDuplicates(["doc_id", "size", "set_a", "set_b"]))
 
     # Chains: every document with the one that is before it in most of its blocks.
     before = members.filter("before IS NOT NULL").groupBy("doc_id", "before").count()
     chain = before.groupBy("doc_id").agg(F.max_by("before", F.struct("count", "before")).alias("before"))
     links = stored(_verified(chain.select(F.col("before").alias("u"), F.col("doc_id").alias("v")), sets, like))
+    if repeats:
+        # A document of several sets holds their first documents together.
+        own_sets = some.join(repeated, "doc_id", "left_semi").join(representatives.withColumnRenamed("doc_id", "u"), _SET_ID)
+        links = links.unionByName(own_sets.select("u", F.col("doc_id").alias("v")).filter("u != v").distinct())
     found = stored(connected_components(links).select(F.col("node").alias("doc_id"), "component"))
 
     # Blocks that hold several components still: their trees. Every document tries its best

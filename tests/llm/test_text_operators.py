@@ -416,3 +416,23 @@ def test_linked_sets_of_any_two_sizes_share_a_block(like):
                 one, other = np.sort(hashes[:small]), np.sort(hashes[small - shared :])
                 assert like.linked(np.int64(shared), np.int64(small + large)) and len(one) == small and len(other) == large
                 assert len(np.intersect1d(ngram_join.block_keys(one, like), ngram_join.block_keys(other, like))), (small, large)
+
+
+def test_repeated_rows_keep_their_near_copies(spark):
+    rows = []
+    for i in range(0, 16, 2):
+        words = [f"w{i}x{j}" for j in range(100)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:-1], "other"]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r["doc_id"], r["component_id"]) for r in ngram_join.linked_groups(df.union(df)).collect()}
+    assert found == {(i, i // 2 * 2) for i in range(16)}
+    some = df.union(df.filter("doc_id % 4 < 1"))
+    found = {(r["doc_id"], r["component_id"]) for r in ngram_join.linked_groups(some).collect()}
+    assert found == {(i, i // 2 * 2) for i in range(16)}
+
+
+def test_a_document_of_several_texts_joins_their_groups(spark):
+    rows = [(0, "a b c d"), (1, "k l m n"), (2, "a b c d"), (2, "k l m n"), (3, "q r s t")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.linked_groups(df).collect())
+    assert found == [(0, 0), (1, 0), (2, 0), (2, 0), (3, 3)]
