@@ -146,12 +146,12 @@ def _face_neighbours(cells: DataFrame, dimensions: int, steps: Sequence[int]) ->
     return stepped.select(F.col("cell").alias("u"), F.explode(moved).alias("v"))
 
 
-def density_cells(cells: DataFrame, dimensions: int, min_cluster_size: int = 30, min_samples: int = 10) -> DataFrame:
+def density_cells(cells: DataFrame, dimensions: int, min_cluster_size: int = 30, min_samples: int = 10, size_in_rows: bool = False) -> DataFrame:
     """Density clusters over occupied grid cells.
 
     A cell is dense when it and its face neighbours hold at least ``min_samples`` rows.
     Dense cells that touch form a cluster; clusters of fewer than ``min_cluster_size``
-    cells, and cells that are not dense, are noise (-1). A cell has at most two
+    cells (or rows, with ``size_in_rows``), and cells that are not dense, are noise (-1). A cell has at most two
     neighbours per dimension, so the work is linear in the cells and no pairs of cells
     are compared. Clusters are numbered by their first cell.
     """
@@ -165,12 +165,12 @@ def density_cells(cells: DataFrame, dimensions: int, min_cluster_size: int = 30,
     joined = links.join(dense.select(F.col("cell").alias("u")), "u", "left_semi").join(dense.select(F.col("cell").alias("v")), "v", "left_semi")
     members = connected_components(joined)
     placed = dense.join(members.withColumnRenamed("node", "cell"), "cell", "left").select(
-        "cell", F.coalesce("component", "cell").alias("component")
+        "cell", "n", F.coalesce("component", "cell").alias("component")
     )
-    sizes = placed.groupBy("component").agg(F.count("*").alias("size"))
-    large = cut_lineage(sizes.filter(F.col("size") >= min_cluster_size))
+    sizes = placed.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("rows"))
+    large = cut_lineage(sizes.filter(F.col("rows" if size_in_rows else "size") >= min_cluster_size).select("component", "size"))
     numbered = _numbered(large)
-    labelled = join_by_key(placed, numbered, ["component"], "size", "inner").select("cell", "label")
+    labelled = join_by_key(placed.select("cell", "component"), numbered, ["component"], "size", "inner").select("cell", "label")
     return occupied.join(labelled, "cell", "left").select(
         "cell", "n", F.coalesce("label", F.lit(-1)).cast("int").alias("label")
     )
@@ -193,16 +193,16 @@ def density_cluster_centres(
 
 def density_cluster_sample_predict(
     df: DataFrame, features: Sequence[str], stratum: str, keys: Sequence[str], sample_size: int = 300_000,
-    threshold: float = 0.3, min_cluster_size: int = 30, min_samples: int = 20, seed: int = 42, name: str = "cluster_hdbscan",
+    threshold: float = 0.3, min_cluster_size: int = 3_000, min_samples: int = 20, seed: int = 42, name: str = "cluster_hdbscan",
 ) -> DataFrame:
-    """Fit density clusters on a proportional sample and label every row.
+    """Fit density clusters of at least ``min_cluster_size`` sampled rows on a proportional sample and label every row.
 
     A row takes the label of its own cell or, where its cell was not clustered, of the
     most populated clustered cell next to it; all other rows are noise.
     """
     sample = sampling.stratified_proportional(df, stratum, keys, sample_size, seed)
     cells = cut_lineage(microclusters(sample, features, threshold).select("cell", "n"))
-    core = cut_lineage(density_cells(cells, len(features), min_cluster_size, min_samples).filter(F.col("label") >= 0))
+    core = cut_lineage(density_cells(cells, len(features), min_cluster_size, min_samples, size_in_rows=True).filter(F.col("label") >= 0))
     reach = _face_neighbours(core, len(features), [1, -1]).join(core.withColumnRenamed("cell", "u"), "u")
     choice = F.min(F.struct((-F.col("n")).alias("minus_n"), "label"))
     border = reach.groupBy(F.col("v").alias("cell")).agg(choice["label"].alias("label")).join(core.select("cell"), "cell", "left_anti")

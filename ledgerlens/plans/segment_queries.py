@@ -94,19 +94,16 @@ def macro_cluster(spark, folder):
     return segments.macro_cluster(rows, MODEL_FEATURES).select("transaction_id", "cluster_birch")
 
 
-CELL_THRESHOLD = 1.5
-
-
 @query("density_cluster_centres")
 def density_cluster_centres(spark, folder):
-    found = segments.density_cluster_centres(prepared(spark, folder), MODEL_FEATURES, CELL_THRESHOLD)
+    found = segments.density_cluster_centres(prepared(spark, folder), MODEL_FEATURES)
     return found.select("transaction_id", "cluster_birch_hdbscan")
 
 
 @query("density_cluster_sample_predict")
 def density_cluster_sample_predict(spark, folder):
     rows = inverse_one_hot(prepared(spark, folder), "type_", "type")
-    found = segments.density_cluster_sample_predict(rows, MODEL_FEATURES, "type", ["transaction_id"], 10_000, CELL_THRESHOLD)
+    found = segments.density_cluster_sample_predict(rows, MODEL_FEATURES, "type", ["transaction_id"])
     return found.select("transaction_id", "cluster_hdbscan")
 
 
@@ -159,7 +156,7 @@ def cluster_sizes(spark, folder):
 
 @query("k_sweep")
 def k_sweep(spark, folder):
-    return segments.k_sweep(prepared(spark, folder), MODEL_FEATURES, restarts=2)
+    return segments.k_sweep(prepared(spark, folder), MODEL_FEATURES)
 
 
 @query("approx_silhouette", _VECTORS + "SELECT round(avg((sqrt(b2) - sqrt(a2)) / greatest(sqrt(a2), sqrt(b2))), 8) AS silhouette FROM own")
@@ -206,7 +203,7 @@ def pca_explained_variance(spark, folder):
 
 
 def _projection(spark, folder):
-    return segments.segment_projection_table(serving(spark, folder), ["transaction_id"], per_segment=1_000)
+    return segments.segment_projection_table(serving(spark, folder), ["transaction_id"])
 
 
 @query("segment_projection_table")

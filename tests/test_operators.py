@@ -288,6 +288,34 @@ def test_density_cells_equal_a_search(spark):
     assert labelled.count() == 450 and set(column(labelled, "cluster_birch_hdbscan")) == {-1, *by_label}
 
 
+def test_sampled_density_clusters_are_measured_in_rows(spark):
+    rows = [(i, 0.1, 0.1, "a") for i in range(3_000)] + [(3_000 + i, 9.1, 9.1, "a") for i in range(2_999)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, kind string")
+    found = segments.density_cluster_sample_predict(df, ["x", "y"], "kind", ["id"], sample_size=len(rows))
+    counts = {(r["x"], r["cluster_hdbscan"]): r["count"] for r in found.groupBy("x", "cluster_hdbscan").count().collect()}
+    assert counts == {(0.1, 0): 3_000, (9.1, -1): 2_999}
+
+
+def test_registered_segment_queries_leave_the_operators_defaults(spark, folder, monkeypatch):
+    from ledgerlens.plans import segment_queries
+
+    given = {}
+    for name in ("k_sweep", "density_cluster_centres", "density_cluster_sample_predict", "segment_projection_table"):
+        monkeypatch.setattr(segment_queries.segments, name, lambda df, *args, _name=name, **named: given.update({_name: (args, named)}) or df)
+    features = segment_queries.MODEL_FEATURES
+    frame = spark.createDataFrame([(0, 0, 0)], "transaction_id long, cluster_birch_hdbscan int, cluster_hdbscan int")
+    for name in ("prepared", "serving", "inverse_one_hot"):
+        monkeypatch.setattr(segment_queries, name, lambda *_: frame)
+    for name in ("k_sweep", "density_cluster_centres", "density_cluster_sample_predict", "segment_projection_table"):
+        getattr(segment_queries, name)(spark, folder)
+    assert given == {
+        "k_sweep": ((features,), {}),
+        "density_cluster_centres": ((features,), {}),
+        "density_cluster_sample_predict": ((features, "type", ["transaction_id"]), {}),
+        "segment_projection_table": ((["transaction_id"],), {}),
+    }
+
+
 def test_projection_matches_an_eigen_decomposition(spark):
     df = blobs(spark)
     points = np.array([(r["x"], r["y"]) for r in df.collect()])
