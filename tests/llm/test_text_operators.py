@@ -436,3 +436,17 @@ def test_a_document_of_several_texts_joins_their_groups(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.linked_groups(df).collect())
     assert found == [(0, 0), (1, 0), (2, 0), (2, 0), (3, 3)]
+
+
+def test_recall_of_nearest_neighbours_with_default_blocks(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = {r["vec_id"]: np.array(r["vec"]) for r in nearest.usable(df).collect()}
+    ids = np.array(sorted(rows))
+    vectors = np.stack([rows[i] for i in ids])
+    found = {(r["query_id"], r["vec_id"]) for r in nearest.search(df).collect()}
+    hits = total = 0
+    for q in ids[ids % 100 == 0]:
+        distance = np.sqrt(((vectors - rows[q]) ** 2).sum(axis=1))
+        best = [i for i in ids[np.lexsort((ids, distance))] if i != q][:10]
+        hits, total = hits + sum((q, i) in found for i in best), total + len(best)
+    assert hits / total >= 0.9
