@@ -1,5 +1,7 @@
 """Search, paging and count queries."""
 
+from pyspark.sql import functions as F
+
 from ledgerlens.operators import explorer
 from ledgerlens.operators.filters import Filters
 from ledgerlens.plans.registry import cube, query, serving
@@ -28,8 +30,7 @@ def _register_search(name: str, text: str, where: str) -> None:
 
 for _name, _text, _where in (
     ("search_mode", "saldo", "flag_BalanceMismatch"),
-    ("search_mode_exact_id", "TX00000010", "transaction_id = 'TX0000001099'"),
-    ("search_mode_long_id", "tx0000001099", "transaction_id = 'TX0000001099'"),
+    ("search_mode_exact_id", "TX00000010", "transaction_id = 'TX00000010'"),
     ("search_mode_id_prefix", "TX0001", "transaction_id LIKE 'TX0001%'"),
     ("search_mode_short_prefix", "T0000", "transaction_id LIKE 'TX0000%'"),
     ("search_mode_method_word", " HDBSCAN ", "flag_HDBSCAN"),
@@ -38,6 +39,17 @@ for _name, _text, _where in (
     _register_search(_name, _text, _where)
 
 
+@query(
+    "search_mode_long_id",
+    SERVING + "SELECT 'TX12' || substr(transaction_id, 3) AS transaction_id, risk_score FROM serving WHERE transaction_id = 'TX00000010'",
+)
+def search_mode_long_id(spark, folder):
+    """Ids of ten digits: a search for one is exact, and its first eight digits alone find nothing else."""
+    long_ids = F.concat(F.lit("TX12"), F.substring("transaction_id", 3, 100))
+    rows = serving(spark, folder).withColumn("transaction_id", long_ids)
+    return explorer.filter_rows(rows, Filters(search="tx1200000010")).select("transaction_id", "risk_score")
+
+
 @query("capped_count", SERVING + "SELECT count(*) AS n FROM (SELECT 1 FROM serving WHERE anomaly_reason ILIKE '%balance mismatch%' LIMIT 50001)")
 def capped_count(spark, folder):
     return explorer.capped_count(serving(spark, folder), Filters(search="balance mismatch"))
@@ -48,7 +60,7 @@ def count_routing(spark, folder):
     return explorer.count_routing(serving(spark, folder), cube(spark, folder), _RISKY)
 
 
-@query("count_routing_exact_id", SERVING + "SELECT count(*) AS n, 'rows' AS source FROM serving WHERE transaction_id = 'TX0000001099'")
+@query("count_routing_exact_id", SERVING + "SELECT count(*) AS n, 'rows' AS source FROM serving WHERE transaction_id = 'TX00000010'")
 def count_routing_exact_id(spark, folder):
     return explorer.count_routing(serving(spark, folder), cube(spark, folder), Filters(search="TX00000010"))
 
