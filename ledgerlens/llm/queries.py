@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import byte_bpe, fingerprints, nearest, ngram_join, packing, pii, quality, repeats, url_filters, warc
+from ledgerlens.llm import (
+    byte_bpe, fingerprints, line_dedup, nearest, ngram_join, packing, periodic, pii, quality, repeats, url_filters, warc, whitening,
+)
 from ledgerlens.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -61,6 +63,19 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digest(table(spark, folder, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(table(spark, folder, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth document has a run planted in it, by the checksum of its id."""
+    return periodic.digest(table(spark, folder, "documents"), changed=periodic.looped)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_packing,
         op10_suffix_dedup,
+        op11_line_dedup,
+        op12_embedding_whitening,
+        op13_periodic_runs,
     )
 }
 
@@ -129,4 +147,23 @@ SELECT page_id, host, path, rule,
 FROM split JOIN bounds USING (host) LEFT JOIN fitting USING (page_id)
 """
 
-STATEMENTS = {"op2_warc": OP2_SQL, "op4_url_filters": OP4_SQL}
+OP11_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM lines),
+repeated AS (
+  SELECT line_key, max(doc_id) AS last FROM keyed WHERE length(line_key) >= 40
+  GROUP BY line_key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT k.doc_id, k.place, k.line, r.last IS NOT NULL AND r.last <> k.doc_id AS dropped
+  FROM keyed k LEFT JOIN repeated r USING (line_key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(dropped::INT) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+STATEMENTS = {"op2_warc": OP2_SQL, "op4_url_filters": OP4_SQL, "op11_line_dedup": OP11_SQL}
