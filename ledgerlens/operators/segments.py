@@ -1,4 +1,4 @@
-"""Segmentation: k-means, grid micro-clusters, density clusters over them, projections."""
+"""Segmentation: k-means, micro-clusters, density clusters over them, projections."""
 
 from __future__ import annotations
 
@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import fixed_values as fixed
-from ledgerlens.functions.components import connected_components
 from ledgerlens.functions.distance import Features, nearest, vector
-from ledgerlens.functions.skew import join_by_key
-from ledgerlens.operators import sampling
+from ledgerlens.operators import density, sampling
+from ledgerlens.operators import microclusters as micro
 from ledgerlens.operators.cleaning import model_input, scale, standard_scale_fit
 from ledgerlens.operators.cluster_eval import cluster_quality
 from ledgerlens.operators.filters import Filters, all_of
@@ -97,8 +96,8 @@ def grid_cell(features: Sequence[str], width: float) -> Column:
     return F.concat_ws(",", *[F.floor(F.col(f).cast("double") / F.lit(width)).cast("string") for f in features])
 
 
-def microclusters(df: DataFrame, features: Sequence[str], threshold: float = 0.3) -> DataFrame:
-    """Rows, centre and radius of every occupied grid cell; one shuffle of partial sums."""
+def microcluster_grid(df: DataFrame, features: Sequence[str], threshold: float = 0.3) -> DataFrame:
+    """Rows, centre and radius of every occupied grid cell, before anything is merged; one shuffle of partial sums."""
     width = cell_width(threshold, len(features))
     grouped = df.groupBy(grid_cell(features, width).alias("cell")).agg(
         F.count("*").alias("n"),
@@ -113,6 +112,11 @@ def microclusters(df: DataFrame, features: Sequence[str], threshold: float = 0.3
     return grouped.select("cell", "n", *[(F.col(f"s_{f}") / n).alias(f) for f in features], F.sqrt(total).alias("radius"))
 
 
+def microclusters(df: DataFrame, features: Sequence[str], threshold: float = 0.3, exact: Sequence[str] | None = None) -> DataFrame:
+    """id, rows, centre and radius of summaries of all rows, merged as far as the radius stays within the threshold."""
+    return micro.build(df, features, threshold, exact).table()
+
+
 def microcluster_threshold_sweep(df: DataFrame, features: Sequence[str], thresholds: Sequence[float] = (0.3, 0.4, 0.5, 0.6)) -> DataFrame:
     """Occupied cells per threshold. Each threshold is one pre-aggregated distinct count."""
     rows = []
@@ -122,92 +126,44 @@ def microcluster_threshold_sweep(df: DataFrame, features: Sequence[str], thresho
     return df.sparkSession.createDataFrame(rows, "threshold double, subclusters long")
 
 
-def _with_labels(df: DataFrame, features: Sequence[str], threshold: float, labels: DataFrame, name: str) -> DataFrame:
-    """Carry cell labels back to rows; a cell holding many rows is joined by broadcast."""
-    celled = df.withColumn("cell", grid_cell(features, cell_width(threshold, len(features))))
-    table = labels.select("cell", "n", F.col("label").alias(name))
-    return join_by_key(celled, table, ["cell"], "n", "left").drop("cell").fillna({name: -1})
-
-
 def macro_cluster(df: DataFrame, features: Sequence[str], threshold: float = 0.3, k: int = 5, weighted: bool = False, seed: int = 42, name: str = "cluster_birch") -> DataFrame:
     """k-means over micro-cluster centres, mapped back to the rows of each micro-cluster."""
-    cells = cut_lineage(microclusters(df, features, threshold))
-    fit = fit_kmeans(cells, features, k, 1, seed, weight="n" if weighted else None)
-    return _with_labels(df, features, threshold, nearest_centroid_assign(cells, features, fit.centres, "label"), name)
-
-
-def _face_neighbours(cells: DataFrame, dimensions: int, steps: Sequence[int]) -> DataFrame:
-    """Every cell with the cells that differ by one step in exactly one dimension."""
-    moved = F.expr(
-        f"transform(sequence(0, {dimensions - 1}), i -> array_join(transform(split(cell, ','), "
-        "(p, j) -> cast(cast(p as bigint) + if(i = j, step, 0) as string)), ','))"
-    )
-    stepped = cells.select("cell", F.explode(F.array(*[F.lit(s) for s in steps])).alias("step"))
-    return stepped.select(F.col("cell").alias("u"), F.explode(moved).alias("v"))
-
-
-def density_cells(cells: DataFrame, dimensions: int, min_cluster_size: int = 30, min_samples: int = 10, size_in_rows: bool = False) -> DataFrame:
-    """Density clusters over occupied grid cells.
-
-    A cell is dense when it and its face neighbours hold at least ``min_samples`` rows.
-    Dense cells that touch form a cluster; clusters of fewer than ``min_cluster_size``
-    cells (or rows, with ``size_in_rows``), and cells that are not dense, are noise (-1). A cell has at most two
-    neighbours per dimension, so the work is linear in the cells and no pairs of cells
-    are compared. Clusters are numbered by their first cell.
-    """
-    occupied = cells.select("cell", "n")
-    links = _face_neighbours(occupied, dimensions, [1]).join(occupied.select(F.col("cell").alias("v")), "v", "left_semi")
-    links = cut_lineage(links.select("u", "v"))
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    around = both.join(occupied.select(F.col("cell").alias("v"), "n"), "v").groupBy(F.col("u").alias("cell")).agg(F.sum("n").alias("nearby"))
-    crowd = F.col("n") + F.coalesce("nearby", F.lit(0))
-    dense = cut_lineage(occupied.join(around, "cell", "left").filter(crowd >= min_samples).select("cell", "n"))
-    joined = links.join(dense.select(F.col("cell").alias("u")), "u", "left_semi").join(dense.select(F.col("cell").alias("v")), "v", "left_semi")
-    members = connected_components(joined)
-    placed = dense.join(members.withColumnRenamed("node", "cell"), "cell", "left").select(
-        "cell", "n", F.coalesce("component", "cell").alias("component")
-    )
-    sizes = placed.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("rows"))
-    large = cut_lineage(sizes.filter(F.col("rows" if size_in_rows else "size") >= min_cluster_size).select("component", "size"))
-    numbered = _numbered(large)
-    labelled = join_by_key(placed.select("cell", "component"), numbered, ["component"], "size", "inner").select("cell", "label")
-    return occupied.join(labelled, "cell", "left").select(
-        "cell", "n", F.coalesce("label", F.lit(-1)).cast("int").alias("label")
-    )
-
-
-def _numbered(components: DataFrame) -> DataFrame:
-    from ledgerlens.functions.ordering import with_global_index
-
-    indexed = with_global_index(components, "component", name="label")
-    return indexed.select("component", "size", F.col("label").cast("int").alias("label"))
+    found = micro.build(df, features, threshold)
+    points = cut_lineage(found.points())
+    fit = fit_kmeans(points, "point", k, 1, seed, weight="n" if weighted else None)
+    return found.label(df, nearest_centroid_assign(points, "point", fit.centres, "label"), name)
 
 
 def density_cluster_centres(
-    df: DataFrame, features: Sequence[str], threshold: float = 0.3, min_cluster_size: int = 30, min_samples: int = 10, name: str = "cluster_birch_hdbscan"
+    df: DataFrame, features: Sequence[str], threshold: float = 0.3, min_cluster_size: int = 30, min_samples: int = 10,
+    reach: float | None = None, name: str = "cluster_birch_hdbscan",
 ) -> DataFrame:
-    """Density clusters of the micro-clusters of all rows, mapped back to the rows."""
-    cells = cut_lineage(microclusters(df, features, threshold).select("cell", "n"))
-    return _with_labels(df, features, threshold, density_cells(cells, len(features), min_cluster_size, min_samples), name)
+    """Density clusters of the micro-clusters of all rows, mapped back to the rows.
+
+    A cluster has at least ``min_cluster_size`` micro-clusters; ``min_samples`` counts rows.
+    Without ``reach``, it is twice the threshold, or what nine tenths of the micro-clusters
+    need to be core points if that is more.
+    """
+    found = micro.build(df, features, threshold)
+    labels, _ = density.clusters_of(found, reach, min_cluster_size, min_samples)
+    return found.label(df, labels, name)
 
 
 def density_cluster_sample_predict(
     df: DataFrame, features: Sequence[str], stratum: str, keys: Sequence[str], sample_size: int = 300_000,
-    threshold: float = 0.3, min_cluster_size: int = 3_000, min_samples: int = 20, seed: int = 42, name: str = "cluster_hdbscan",
+    threshold: float = 0.3, min_cluster_size: int = 3_000, min_samples: int = 20, seed: int = 42,
+    reach: float | None = None, name: str = "cluster_hdbscan",
 ) -> DataFrame:
     """Fit density clusters of at least ``min_cluster_size`` sampled rows on a proportional sample and label every row.
 
-    A row takes the label of its own cell or, where its cell was not clustered, of the
-    most populated clustered cell next to it; all other rows are noise.
+    A row takes the label of the nearest clustered core point (a micro-cluster of the
+    sample) within reach; rows without one are noise.
     """
     sample = sampling.stratified_proportional(df, stratum, keys, sample_size, seed)
-    cells = cut_lineage(microclusters(sample, features, threshold).select("cell", "n"))
-    core = cut_lineage(density_cells(cells, len(features), min_cluster_size, min_samples, size_in_rows=True).filter(F.col("label") >= 0))
-    reach = _face_neighbours(core, len(features), [1, -1]).join(core.withColumnRenamed("cell", "u"), "u")
-    choice = F.min(F.struct((-F.col("n")).alias("minus_n"), "label"))
-    border = reach.groupBy(F.col("v").alias("cell")).agg(choice["label"].alias("label")).join(core.select("cell"), "cell", "left_anti")
-    counted = border.join(cells, "cell", "left").select("cell", F.coalesce("n", F.lit(0)).alias("n"), "label")
-    return _with_labels(df, features, threshold, core.select("cell", "n", "label").unionByName(counted), name)
+    found = micro.build(sample, features, threshold)
+    labels, reach = density.clusters_of(found, reach, min_cluster_size, min_samples, size_in_rows=True)
+    core = cut_lineage(found.points().join(labels.filter(F.col("label") >= 0).select("id", "label"), "id"))
+    return density.nearest_labels(df, found.space, core, reach, name)
 
 
 # --- linear projection -------------------------------------------------------------

@@ -1,8 +1,11 @@
 """Segmentation, cluster evaluation and projection queries."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cluster_eval, segments
+from ledgerlens.operators import microclusters as micro
 from ledgerlens.operators.cleaning import inverse_one_hot
 from ledgerlens.operators.filters import Filters
 from ledgerlens.plans.registry import MODEL_FEATURES, query, rounded, serving
@@ -65,17 +68,45 @@ def _cell(threshold: float) -> str:
 
 
 @query(
-    "microclusters",
+    "microcluster_grid",
     _LOGGED + f" SELECT {_cell(0.3)} AS cell, count(*) AS n, " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in CELL_FEATURES)
     + ", round(sqrt(greatest(0, " + " + ".join(f"greatest(0, sum({c} * {c}) / count(*) - (sum({c}) / count(*)) * (sum({c}) / count(*)))" for c in CELL_FEATURES) + ")), 4) AS radius FROM logged GROUP BY 1",
 )
 
 
-def microclusters(spark, folder):
-    cells = segments.microclusters(_logged(spark, folder), CELL_FEATURES)
+def microcluster_grid(spark, folder):
+    cells = segments.microcluster_grid(_logged(spark, folder), CELL_FEATURES)
     return rounded(rounded(cells, 6, *CELL_FEATURES), 4, "radius")
 
 
+@query("microclusters")
+def microclusters(spark, folder):
+    """All micro-clusters of the model table; their order of merging is beyond SQL, see ``microcluster_totals``."""
+    measured = MODEL_FEATURES[:6]
+    return rounded(segments.microclusters(prepared(spark, folder), MODEL_FEATURES), 6, *measured, "radius")
+
+
+@query(
+    "microcluster_totals",
+    _LOGGED + " SELECT type, count(*) AS n, " + ", ".join(f"round(avg({c}), 5) AS {c}" for c in CELL_FEATURES)
+    + ", round(sum(q) / 1000, 3) AS spread, true AS within_threshold FROM (SELECT *, "
+    + " + ".join(f"pow({c} - avg({c}) OVER (PARTITION BY type), 2)" for c in CELL_FEATURES) + " AS q FROM logged) GROUP BY 1",
+)
+
+
+def microcluster_totals(spark, folder):
+    """What merging must keep: rows, means and squares per exact feature add up again, and no radius exceeds the threshold."""
+    found = micro.build(_logged(spark, folder), [*CELL_FEATURES, "type"], 0.3, exact=["type"])
+    parts = found.table().join(found.summaries.select("id", "scatter"), "id")
+    means = parts.groupBy("type").agg(*[(F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(f"m_{c}") for c in CELL_FEATURES])
+    between = reduce(lambda a, b: a + b, [F.col("n") * F.pow(F.col(c) - F.col(f"m_{c}"), F.lit(2.0)) for c in CELL_FEATURES])
+    totals = parts.join(means, "type").groupBy("type").agg(
+        F.sum("n").alias("n"), *[F.first(f"m_{c}").alias(c) for c in CELL_FEATURES],
+        (F.sum(F.col("scatter") + between) / 1000).alias("spread"), (F.max("radius") <= 0.3).alias("within_threshold"),
+    )
+    return rounded(rounded(totals, 5, *CELL_FEATURES), 3, "spread")
+
+
 @query(
     "microcluster_threshold_sweep",
     _LOGGED + " UNION ALL ".join(f" SELECT {t}::DOUBLE AS threshold, count(DISTINCT {_cell(t)}) AS subclusters FROM logged" for t in (0.3, 0.4, 0.5, 0.6)),

@@ -241,53 +241,6 @@ def test_vector_and_column_distances_agree(spark):
     assert a == pytest.approx(b)
 
 
-def test_micro_clusters_keep_rows_and_radius(spark):
-    cells = segments.microclusters(blobs(spark), ["x", "y"], 0.7).collect()
-    assert sum(c["n"] for c in cells) == 180
-    assert max(c["radius"] for c in cells) <= 0.7
-
-
-def brute_density(points, width, min_size, min_samples):
-    cells = Counter(tuple(math.floor(v / width) for v in p) for p in points)
-
-    def faces(c):
-        for i in range(len(c)):
-            for step in (1, -1):
-                yield c[:i] + (c[i] + step,) + c[i + 1 :]
-
-    dense = {c for c in cells if cells[c] + sum(cells.get(f, 0) for f in faces(c)) >= min_samples}
-    label, groups = {}, []
-    for c in dense:
-        if c not in label:
-            group, stack = set(), [c]
-            while stack:
-                at = stack.pop()
-                if at not in group:
-                    group.add(at)
-                    stack += [f for f in faces(at) if f in dense]
-            groups.append(group)
-            for m in group:
-                label[m] = len(groups) - 1
-    return {c: frozenset(groups[label[c]]) for c in dense if len(groups[label[c]]) >= min_size}
-
-
-def test_density_cells_equal_a_search(spark):
-    df = blobs(spark, 150)
-    points = [(r["x"], r["y"]) for r in df.collect()]
-    width = segments.cell_width(0.6, 2)
-    expected = brute_density(points, width, 4, 6)
-    cells = segments.microclusters(df, ["x", "y"], 0.6).select("cell", "n")
-    found = {tuple(map(int, r["cell"].split(","))): r["label"] for r in segments.density_cells(cells, 2, 4, 6).collect()}
-    by_label = {}
-    for cell, label in found.items():
-        if label >= 0:
-            by_label.setdefault(label, set()).add(cell)
-    assert {c: frozenset(by_label[found[c]]) for c in found if found[c] >= 0} == expected
-    assert sorted(by_label) == list(range(len(by_label)))
-    labelled = segments.density_cluster_centres(df, ["x", "y"], 0.6, 4, 6)
-    assert labelled.count() == 450 and set(column(labelled, "cluster_birch_hdbscan")) == {-1, *by_label}
-
-
 def test_sampled_density_clusters_are_measured_in_rows(spark):
     rows = [(i, 0.1, 0.1, "a") for i in range(3_000)] + [(3_000 + i, 9.1, 9.1, "a") for i in range(2_999)]
     df = spark.createDataFrame(rows, "id long, x double, y double, kind string")
