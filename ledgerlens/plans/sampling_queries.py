@@ -1,4 +1,4 @@
-"""Sampling queries. Which rows a hash picks is engine-specific; how many, and the systematic sample, is not."""
+"""Sampling queries. Samples are the first rows of a stratum by the MD5 of seed and id, so a statement can pick them too."""
 
 from pyspark.sql import functions as F
 
@@ -25,7 +25,14 @@ def _sizes_sql(by: str, quota: str, source: str = "tx") -> str:
     )
 
 
-@query("stratified_proportional")
+def _sample_sql(by: str, quota: str, columns: str = "transaction_id, type, amount") -> str:
+    return (
+        TX + f"SELECT {columns} FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS n, count(*) OVER () AS total, "
+        f"row_number() OVER (PARTITION BY {by} ORDER BY md5('42|' || transaction_id)) AS place FROM tx) WHERE place <= {quota}"
+    )
+
+
+@query("stratified_proportional", _sample_sql("type", "floor(1000 * (n / total))"))
 def stratified_proportional(spark, folder):
     return sampling.stratified_proportional(_rows(spark, folder), "type", KEY, 1_000)
 
@@ -35,7 +42,7 @@ def stratified_proportional_sizes(spark, folder):
     return _sizes(stratified_proportional(spark, folder), "type")
 
 
-@query("stratified_fixed")
+@query("stratified_fixed", _sample_sql("type", "500"))
 def stratified_fixed(spark, folder):
     return sampling.stratified_fixed(_rows(spark, folder), "type", KEY, 500)
 
@@ -45,7 +52,7 @@ def stratified_fixed_sizes(spark, folder):
     return _sizes(stratified_fixed(spark, folder), "type")
 
 
-@query("stratified_fraction")
+@query("stratified_fraction", _sample_sql("type", "CASE WHEN total <= 3000 THEN n ELSE greatest(1, floor(n * (3000 / total))) END"))
 def stratified_fraction(spark, folder):
     return sampling.stratified_fraction(_rows(spark, folder), "type", KEY)
 
@@ -60,7 +67,20 @@ def bernoulli_percent(spark, folder):
     return sampling.bernoulli_percent(_rows(spark, folder))
 
 
-@query("fixed_size_random")
+@query("stratified_many_strata", _sample_sql("nameOrig", "2", "transaction_id, nameOrig"))
+def stratified_many_strata(spark, folder):
+    """Two transactions of every sender, which are as many strata as there are customers."""
+    rows = transactions(spark, folder).select("transaction_id", "nameOrig")
+    return sampling.stratified_fixed(rows, "nameOrig", KEY, 2)
+
+
+@query("fixed_size_random_half", _sample_sql("1", "total // 2"))
+def fixed_size_random_half(spark, folder):
+    rows = _rows(spark, folder)
+    return sampling.fixed_size_random(rows, rows.count() // 2, KEY)
+
+
+@query("fixed_size_random", _sample_sql("1", "1000"))
 def fixed_size_random(spark, folder):
     return sampling.fixed_size_random(_rows(spark, folder), 1_000, KEY)
 

@@ -88,7 +88,7 @@ def microclusters(spark, folder):
 
 @query(
     "microcluster_totals",
-    _LOGGED + " SELECT type, count(*) AS n, " + ", ".join(f"round(avg({c}), 5) AS {c}" for c in CELL_FEATURES)
+    _LOGGED.replace("logged AS (SELECT ", "logged AS (SELECT type, ") + " SELECT type, count(*) AS n, " + ", ".join(f"round(avg({c}), 5) AS {c}" for c in CELL_FEATURES)
     + ", round(sum(q) / 1000, 3) AS spread, true AS within_threshold FROM (SELECT *, "
     + " + ".join(f"pow({c} - avg({c}) OVER (PARTITION BY type), 2)" for c in CELL_FEATURES) + " AS q FROM logged) GROUP BY 1",
 )
