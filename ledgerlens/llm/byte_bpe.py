@@ -17,7 +17,6 @@ import hashlib
 import re
 from array import array
 from collections.abc import Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-from ledgerlens.llm.common import prepare, whole_text
+from ledgerlens.llm.common import held, prepare, whole_text
 from ledgerlens.llm.stretches import WORD_AND_MARKS, Remembered, ids_by
 
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
@@ -130,9 +129,8 @@ class ByteBpe:
         return self.decode(ids).decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=4)
 def shared(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    return held(("bytes", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_documents(

@@ -8,7 +8,7 @@ get their own output row unless the operator's docstring says otherwise.
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,17 @@ def stored(df: DataFrame) -> DataFrame:
     return written
 
 
+_HELD: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """The one large helper a worker keeps between tasks; asking for another lets the last one go."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts with about ``limit`` bytes together, at least one text each."""
     start, size = 0, 0

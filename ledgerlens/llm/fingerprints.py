@@ -121,8 +121,10 @@ def _with_bucket(df: DataFrame, key: str) -> DataFrame:
         F.array(*(F.lit(int(b)) for b in inner)), F.lit(0), lambda n, b: n + F.when(b <= F.col(key), 1).otherwise(0)
     )
     low = F.get(F.array(*(F.lit(int(b)) for b in borders)), F.col("_range"))
-    high = F.get(F.array(*(F.lit(int(b)) for b in [*inner, inner[-1] + 1])), F.col("_range"))
-    share = (F.col(key) - low).cast("double") / F.greatest((high - low).cast("double"), F.lit(1.0))
+    high = F.get(F.array(*(F.lit(int(b)) for b in [*inner, min(inner[-1] + 1, 2**63 - 1)])), F.col("_range"))
+    # In doubles, since ids far apart differ by more than a long; their order stays.
+    width = high.cast("double") - low.cast("double")
+    share = (F.col(key).cast("double") - low.cast("double")) / F.greatest(width, F.lit(1.0))
     inside = F.least(F.greatest(F.floor(share * cuts), F.lit(0)), F.lit(cuts - 1))
     placed = df.withColumn("_range", place).withColumn("bucket", F.col("_range").cast("long") * cuts + inside)
     return placed.withColumn("bucket", F.coalesce("bucket", F.lit(-1).cast("long"))).drop("_range")

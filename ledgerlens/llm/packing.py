@@ -15,7 +15,6 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Mapping
-from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm.byte_bpe import byte_characters
-from ledgerlens.llm.common import prepare, stored, whole_text
+from ledgerlens.llm.common import held, prepare, stored, whole_text
 from ledgerlens.llm.stretches import WORD_AND_MARKS, Remembered, ids_by
 
 CAPACITY = 4096
@@ -45,7 +44,8 @@ class WordTokens:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Texts that may hold a special token's own text go to the library whole.
+        self._marks = {token.content[:2] for token in self.tokenizer.get_added_tokens_decoder().values()}
         self._whole = ids_by(self.tokenizer)
         self._model = self.tokenizer.model
         self._shown = dict(enumerate(byte_characters()))
@@ -65,17 +65,16 @@ class WordTokens:
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text.
 
-        Characters that Python and the tokenizer treat differently send the text to the
-        tokenizer whole.
+        Characters that Python and the tokenizer treat differently, and the beginnings of
+        special tokens, send the text to the tokenizer whole.
         """
-        if any(c in text for c in _ODD):
+        if any(c in text for c in _ODD) or any(m in text for m in self._marks):
             return self._whole(text)
         return self._remembered.ids(unicodedata.normalize("NFC", text).lower().split())
 
 
-@lru_cache(maxsize=2)
 def shared(path: str) -> WordTokens:
-    return WordTokens(path)
+    return held(("words", path), lambda: WordTokens(path))
 
 
 def tokenize_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

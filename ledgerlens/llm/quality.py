@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 from operator import eq
@@ -25,8 +26,9 @@ from ledgerlens.llm.common import prepare, whole_text
 
 CUTOFF = 0.3
 GRAMS = (3, 4, 5)
-LONGEST_WORD = 24
-REMEMBERED = 600_000
+LONGEST_REMEMBERED = 40
+REMEMBERED = 250_000
+GRAMS_AT_ONCE = 10_000
 
 
 @dataclass(frozen=True)
@@ -42,13 +44,14 @@ class Training:
     seed: int = 11
 
 
-def word_buckets(word: str, buckets: int) -> list[int]:
-    """Buckets of a word and of its character n-grams; a very long word is cut into its first and last characters."""
-    if len(word) > LONGEST_WORD:
-        word = word[: LONGEST_WORD // 2] + word[-LONGEST_WORD // 2 :]
+def word_buckets(word: str, buckets: int) -> Iterator[list[int]]:
+    """Buckets of a word and of all its character n-grams, a bounded number at once however long it is."""
     marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode()) % buckets for g in [f"={word}", *grams]]
+    yield [zlib.crc32(f"={word}".encode()) % buckets]
+    for n in GRAMS:
+        for start in range(0, len(marked) - n + 1, GRAMS_AT_ONCE):
+            last = min(start + GRAMS_AT_ONCE, len(marked) - n + 1)
+            yield [zlib.crc32(marked[i : i + n].encode()) % buckets for i in range(start, last)]
 
 
 def follows_itself(words: list[str]) -> int:
@@ -70,8 +73,12 @@ class Model:
 
     def _word(self, word: str) -> float:
         """A word's part of the difference of the two logits."""
-        own = word_buckets(word, len(self._parts) - 1)
-        self._known[word] = part = sum(map(self._parts.__getitem__, own)) / len(own)
+        total, count = 0.0, 0
+        for own in word_buckets(word, len(self._parts) - 1):
+            total, count = total + sum(map(self._parts.__getitem__, own)), count + len(own)
+        part = total / count
+        if len(word) <= LONGEST_REMEMBERED:
+            self._known[word] = part
         return part
 
     def score(self, text: str) -> float:
@@ -125,7 +132,7 @@ def _features(text: str, buckets: int, own: dict[str, np.ndarray]) -> tuple[np.n
     counts = Counter(words)
     for w in counts:
         if w not in own:
-            own[w] = np.array(word_buckets(w, buckets), np.int32)
+            own[w] = np.concatenate([np.array(part, np.int32) for part in word_buckets(w, buckets)])
     lists = [own[w] for w in counts]
     lengths = np.array(list(map(len, lists)))
     each = np.array(list(counts.values())) / lengths / (len(words) + pairs)

@@ -338,12 +338,14 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _with_found(df: DataFrame, threshold: int, *columns: str) -> DataFrame:
-    """All rows: the columns, packed text, and the repeats found in it (null for none)."""
-    marked = df.select(*columns, "text", F.hash(F.coalesce("text", F.lit(""))).alias("mark"))
+    """All rows: the columns under names of our own, packed text, and the repeats found in it (null for none)."""
+    names = [f"column_{i}" for i in range(len(columns))]
+    kept = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
+    marked = df.select(*kept, F.col("doc_id").alias("owner"), "text", F.hash(F.coalesce("text", F.lit(""))).alias("mark"))
     found = find_repeats(df, packed(_documents(df), "doc_id", "mark"), threshold)
-    texts = packed(marked, *columns, "mark")
-    same = texts["doc_id"].eqNullSafe(found["doc_id"]) & (texts["mark"] == found["mark"])
-    return texts.join(found, same, "left").select(*(texts[c] for c in columns), texts["packed"], found["found"])
+    texts = packed(marked, *names, "owner", "mark")
+    same = texts["owner"].eqNullSafe(found["doc_id"]) & (texts["mark"] == found["mark"])
+    return texts.join(found, same, "left").select(*(texts[n] for n in names), texts["packed"], found["found"])
 
 
 def digest(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

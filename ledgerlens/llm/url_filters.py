@@ -91,7 +91,8 @@ def host_reputation(counts: DataFrame, settings: Reputation = Reputation()) -> D
     """Per host: posterior rate of bad pages and its lower bound.
 
     ``counts`` has one row per host with its labelled pages (seen) and the bad ones (bad);
-    a host without labels takes its domain's rate. An empty table gives an empty one.
+    a host without labels takes its domain's rate. Without any label every rate is 0, so
+    nothing is blocked but by rule. An empty table gives an empty one.
     """
     hosts = counts.select(
         "host",
@@ -101,7 +102,7 @@ def host_reputation(counts: DataFrame, settings: Reputation = Reputation()) -> D
     )
     sums = [F.sum("bad").alias("bad"), F.sum("seen").alias("seen")]
     k, bad, seen = settings.strength, F.col("bad"), F.col("seen")
-    overall = hosts.agg(*sums).select(_posterior(bad, seen, F.lit(0.5), 1.0)).scalar()
+    overall = hosts.agg(*sums).select(F.when(seen > 0, _posterior(bad, seen, F.lit(0.5), 1.0)).otherwise(0.0)).scalar()
     suffixes = hosts.groupBy("suffix").agg(*sums)
     suffixes = suffixes.select("suffix", _posterior(bad, seen, overall, k).alias("suffix_rate"))
     domains = hosts.groupBy("domain", "suffix").agg(*sums).join(suffixes, "suffix")

@@ -219,7 +219,6 @@ def test_byte_tokens_of_whole_tables(spark, docs, texts):
 
 def test_word_ids_are_those_of_the_tokenizer():
     words, plain = packing.WordTokens(WORD_PATH), Tokenizer.from_file(WORD_PATH)
-    plain.encode_special_tokens = True
     for text in random_texts(2, 4000):
         assert np.frombuffer(words.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
