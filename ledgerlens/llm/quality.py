@@ -27,7 +27,7 @@ from ledgerlens.llm.common import prepare, whole_text
 CUTOFF = 0.3
 GRAMS = (3, 4, 5)
 LONGEST_REMEMBERED = 40
-REMEMBERED = 250_000
+REMEMBERED = 450_000
 GRAMS_AT_ONCE = 10_000
 
 
