@@ -10,7 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +23,8 @@ from ledgerlens.functions.ordering import with_global_index
 from ledgerlens.functions.quantiles import count_values, exact_quantiles, values_at_ranks
 from ledgerlens.session import cut_lineage
 
+CANDIDATES_AT_ONCE = 50_000
+
 RULE_ORDER = (F.desc, "lift"), (F.desc, "confidence"), (F.desc, "support"), (F.asc, "antecedents_str"), (F.asc, "consequents_str")
 
 
@@ -169,25 +175,103 @@ def important_item_support(collapsed: DataFrame, items: Sequence[str] = fixed.IM
     return item_support(collapsed).filter(F.col("item").isin(*items))
 
 
+def _bitmaps(collapsed: DataFrame, items: Sequence[str]) -> DataFrame:
+    """Chunks of distinct baskets turned upright: one bit per basket for each item, and for each binary digit of the row counts."""
+    alphabet = pa.array(items, pa.string())
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists, counts = batch.column(0), batch.column(1).to_numpy()
+            at = pc.index_in(lists.flatten(), alphabet)
+            owner = pc.list_parent_indices(lists).to_numpy()
+            known = at.is_valid().to_numpy(zero_copy_only=False)
+            held = np.zeros((len(items), batch.num_rows), bool)
+            held[at.fill_null(0).to_numpy()[known], owner[known]] = True
+            used = np.flatnonzero(held.any(axis=1))
+            digits = range(int(counts.max()).bit_length())
+            planes = np.stack([np.packbits((counts >> d) & 1 == 1) for d in digits]) if len(digits) else np.empty((0, 1), np.uint8)
+            names = [[items[i] for i in used]]
+            columns = [
+                pa.array(names, pa.list_(pa.string())), pa.array([np.packbits(held[used], axis=1).tobytes()], pa.binary()),
+                pa.array([planes.tobytes()], pa.binary()), pa.array([-(-batch.num_rows // 8)], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["names", "bits", "planes", "width"])
+
+    return collapsed.select("items", "n").mapInArrow(run, "names array<string>, bits binary, planes binary, width int")
+
+
+def _counted(chunks: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows that hold all items of a candidate, for candidates held at all: bitmaps are joined by AND, row counts summed by popcount."""
+    by_prefix: dict[tuple, list[str]] = {}
+    for c in candidates:
+        by_prefix.setdefault(tuple(c[:-1]), []).append(c[-1])
+
+    def run(batches):
+        for batch in batches:
+            for names, bits, planes, width in zip(*(c.to_pylist() for c in batch.columns)):
+                place = {name: i for i, name in enumerate(names)}
+                rows = np.frombuffer(bits, np.uint8).reshape(-1, width)
+                digits = np.frombuffer(planes, np.uint8).reshape(-1, width)
+                found, counts = [], []
+                for prefix, ends in by_prefix.items():
+                    ends = [e for e in ends if e in place]
+                    if not ends or any(p not in place for p in prefix):
+                        continue
+                    common = np.bitwise_and.reduce(rows[[place[p] for p in prefix]], axis=0)
+                    joint = rows[[place[e] for e in ends]] & common
+                    total = np.zeros(len(ends), np.int64)
+                    for d, plane in enumerate(digits):
+                        total += np.bitwise_count(joint & plane).sum(axis=1, dtype=np.int64) << d
+                    for end, n in zip(ends, total.tolist()):
+                        if n:
+                            found.append([*prefix, end])
+                            counts.append(n)
+                columns = [pa.array(found, pa.list_(pa.string())), pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["itemsets", "n"])
+
+    return chunks.mapInArrow(run, "itemsets array<string>, n bigint").groupBy("itemsets").agg(F.sum("n").alias("n"))
+
+
+def itemset_candidates(level: DataFrame, size: int) -> DataFrame:
+    """Itemsets of ``size`` items all of whose parts of one item less are in ``level``; items rise in a set."""
+    head = F.slice("itemsets", 1, size - 2)
+    left = level.select(head.alias("head"), F.col("itemsets").alias("left"))
+    right = level.select(head.alias("head"), F.element_at("itemsets", -1).alias("last"))
+    joined = left.join(right, "head").filter(F.element_at("left", -1) < F.col("last"))
+    candidates = joined.select(F.concat("left", F.array("last")).alias("candidate"))
+    if size == 2:
+        return candidates
+    parts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.filter("candidate", lambda x, j: i != j))
+    checked = candidates.select("candidate", F.explode(parts).alias("itemsets")).join(level.select("itemsets"), "itemsets")
+    return checked.groupBy("candidate").count().filter(F.col("count") == size).select("candidate")
+
+
 def frequent_itemsets(collapsed: DataFrame, min_support: float, max_len: int = 3) -> DataFrame:
     """Itemsets of up to ``max_len`` items held by at least ``min_support`` of all rows.
 
-    Each level extends the previous level's combinations by one later item of the same
-    basket, so a combination is produced once per distinct basket.
+    Level by level: candidates are sets all of whose smaller parts are frequent, and only
+    these are counted, on one bitmap per item and chunk of distinct baskets. At most
+    ``CANDIDATES_AT_ONCE`` candidates are counted in one pass over the bitmaps.
     """
     total = basket_total(collapsed)
-    frontier = collapsed.select(F.lit(None).cast("array<string>").alias("chosen"), F.col("items").alias("rest"), "n")
-    levels = []
-    for _ in range(max_len):
-        extended = frontier.select("chosen", "rest", "n", F.posexplode("rest").alias("at", "item"))
-        frontier = extended.select(
-            F.concat(F.coalesce("chosen", F.array().cast("array<string>")), F.array("item")).alias("chosen"),
-            F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"),
-            "n",
-        )
-        levels.append(frontier.select(F.col("chosen").alias("itemsets"), "n"))
-    counted = reduce(DataFrame.unionByName, levels).groupBy("itemsets").agg(F.sum("n").alias("n"))
-    supported = counted.withColumn("support", F.col("n") / F.lit(total)).filter(F.col("support") >= min_support)
+    share = F.col("n") / F.lit(total)
+    singles = collapsed.select("n", F.explode(F.array_distinct("items")).alias("item")).groupBy(F.array("item").alias("itemsets"))
+    level = cut_lineage(singles.agg(F.sum("n").alias("n")).filter(share >= min_support))
+    levels = [level]
+    items = sorted(r["itemsets"][0] for r in level.collect())  # an item takes min_support of the rows at least
+    if items and max_len > 1:
+        chunks = cut_lineage(_bitmaps(collapsed, items))
+        for size in range(2, max_len + 1):
+            counted, waiting = [], itemset_candidates(level, size).toLocalIterator()
+            while block := [list(r[0]) for r in islice(waiting, CANDIDATES_AT_ONCE)]:
+                counted.append(cut_lineage(_counted(chunks, block).filter(share >= min_support)))
+            if not counted:
+                break
+            level = reduce(DataFrame.unionByName, counted)
+            levels.append(level)
+    supported = reduce(DataFrame.unionByName, levels).withColumn("support", share)
     return supported.withColumn("itemsets_str", F.array_join("itemsets", ", ")).orderBy(F.desc("support"), "itemsets_str")
 
 
