@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions.comoments import co_moments
 from ledgerlens.functions.quantiles import ColumnSpec, numeric_profile
 from ledgerlens.functions.skew import join_by_key
 
@@ -322,22 +323,12 @@ def histogram(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ()
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, in long form (both directions).
 
-    Each pair takes the rows that have both values, all pairs in one pass of partial
-    aggregates. Null where a column does not vary over them, on the diagonal too.
+    Each pair takes the rows that have both values; all pairs come from one pass of mergeable
+    blocks. Null where a column does not vary over them, on the diagonal too.
     """
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = list(combinations_with_replacement(columns, 2))
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
-        aggs += [F.covar_pop(a, b).alias(f"c{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}")]
-    wide = doubles.agg(*aggs)
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.try_divide(f"c{i}", F.col(f"x{i}") * F.col(f"y{i}")) if a != b else F.when(F.col(f"x{i}") > 0, F.lit(1.0))
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), r.alias("correlation")))
-    return wide.select(F.inline(F.array(*cells)))
+    found = co_moments(df, columns).correlation()
+    rows = [(a, b, None if np.isnan(found[i, j]) else float(found[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
 
 
 def rate_by_binary(df: DataFrame, by: str, label: str = "isFraud") -> DataFrame:

@@ -200,8 +200,9 @@ def segment_projection_table(df: DataFrame, keys: Sequence[str], per_segment: in
     scaled = scale(filled, standard_scale_fit(filled, features))
     kept = [c for c in ("jenis_tujuan", "risk_level") if c in sample.columns]
     variants = []
+    # Components come by falling variance, so fewer dimensions are the first of more.
+    points = pca_project(scaled, features, fit_pca(scaled, features, max(dims)))
     for dim in dims:
-        points = pca_project(scaled, features, fit_pca(scaled, features, dim))
         z = F.col("pc3") if dim >= 3 else F.lit(0.0)
         variants.append(
             points.select(
