@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.functions.ordering import with_global_index
 from ledgerlens.functions.quantiles import numeric_profile
+from ledgerlens.functions.rowdigest import split_by_digest
 
 MAX_CATEGORIES = 1_000
 SCALED_COLUMNS = ("amount", "oldbalanceOrg", "oldbalanceDest", "origError", "destError", "step")
 
 
 def dedup(df: DataFrame, key: str | None = None) -> DataFrame:
-    """One row of each set of equal rows; with a row ``key``, of rows equal in all else, the lowest key stays."""
-    if key is None or key not in df.columns:
-        return df.dropDuplicates()
-    others = [c for c in df.columns if c != key]
-    return df.groupBy(*others).agg(F.min(key).alias(key)).select(*df.columns)
+    """One row of each set of equal rows; with a row ``key``, of rows equal in all else, the lowest key stays.
+
+    Rows whose digest is unlike all others stay where they are; only the rest are grouped by all columns.
+    """
+    keyed = key is not None and key in df.columns
+    others = [c for c in df.columns if not (keyed and c == key)]
+    single, repeated = split_by_digest(df, others)
+    if not keyed:
+        return single.unionByName(repeated.dropDuplicates())
+    lowest = repeated.groupBy(*others).agg(F.min(key).alias(key)).select(*df.columns)
+    return single.unionByName(lowest)
 
 
 def drop_nonpositive_amount(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions.comoments import co_moments
 from ledgerlens.functions.quantiles import ColumnSpec, numeric_profile
+from ledgerlens.functions.rowdigest import HALVES, digest_halves, repeated_digests
 from ledgerlens.functions.skew import join_by_key
 
 TOLERANCE = 0.01
@@ -71,8 +72,10 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier, fully equal row."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    """How many rows repeat an earlier, fully equal row. Only rows whose digest repeats are compared in full."""
+    rows = df.withColumns(digest_halves(df.columns))
+    again = join_by_key(rows, repeated_digests(df, df.columns), list(HALVES), "_copies", "left_semi").drop(*HALVES)
+    copies = again.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
