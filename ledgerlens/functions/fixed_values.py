@@ -188,20 +188,6 @@ RULE_ADVICE = {
     "general": "Cocok sebagai konteks/latar belakang, bukan prioritas tindakan investigasi.",
 }
 
-_LEVEL_WORDS = {
-    "very_low": "sangat rendah",
-    "low": "rendah",
-    "medium": "sedang",
-    "high": "tinggi",
-    "very_high": "sangat tinggi",
-}
-_COLUMN_WORDS = {
-    "amount": "nominal transaksi",
-    "oldbalanceOrg": "saldo awal pengirim",
-    "oldbalanceDest": "saldo awal penerima",
-    "origError": "ketidaksesuaian saldo pengirim",
-    "destError": "ketidaksesuaian saldo penerima",
-}
 ITEM_LABELS = {
     "isFraud_yes": "berstatus fraud terkonfirmasi",
     "isFraud_no": "tidak berlabel fraud",
@@ -217,7 +203,31 @@ ITEM_LABELS = {
     "type_PAYMENT": "transaksi pembayaran",
     "type_TRANSFER": "transaksi transfer",
     **{f"cluster_kmeans_{i}": f"Segmen {i}: {name}" for i, name in SEGMENT_NAMES.items()},
-    **{f"{c}_{level}": f"{words} {word}" for c, words in _COLUMN_WORDS.items() for level, word in _LEVEL_WORDS.items()},
+    "amount_very_low": "nominal transaksi sangat rendah",
+    "amount_low": "nominal transaksi rendah",
+    "amount_medium": "nominal transaksi sedang",
+    "amount_high": "nominal transaksi tinggi",
+    "amount_very_high": "nominal transaksi sangat tinggi",
+    "oldbalanceOrg_very_low": "saldo awal pengirim sangat rendah",
+    "oldbalanceOrg_low": "saldo awal pengirim rendah",
+    "oldbalanceOrg_medium": "saldo awal pengirim sedang",
+    "oldbalanceOrg_high": "saldo awal pengirim tinggi",
+    "oldbalanceOrg_very_high": "saldo awal pengirim sangat tinggi",
+    "oldbalanceDest_very_low": "saldo awal penerima sangat rendah",
+    "oldbalanceDest_low": "saldo awal penerima rendah",
+    "oldbalanceDest_medium": "saldo awal penerima sedang",
+    "oldbalanceDest_high": "saldo awal penerima tinggi",
+    "oldbalanceDest_very_high": "saldo awal penerima sangat tinggi",
+    "origError_very_low": "ketidaksesuaian saldo pengirim sangat rendah",
+    "origError_low": "ketidaksesuaian saldo pengirim rendah",
+    "origError_medium": "ketidaksesuaian saldo pengirim sedang",
+    "origError_high": "ketidaksesuaian saldo pengirim tinggi",
+    "origError_very_high": "ketidaksesuaian saldo pengirim sangat tinggi",
+    "destError_very_low": "ketidaksesuaian saldo penerima sangat rendah",
+    "destError_low": "ketidaksesuaian saldo penerima rendah",
+    "destError_medium": "ketidaksesuaian saldo penerima sedang",
+    "destError_high": "ketidaksesuaian saldo penerima tinggi",
+    "destError_very_high": "ketidaksesuaian saldo penerima sangat tinggi",
 }
 # group key, group title, item prefixes
 ITEM_GROUPS = (
@@ -272,3 +282,14 @@ NON_FEATURE_COLUMNS = (
     "nameDest",
     "jenis_tujuan",
 )
+
+# transaction search: rows counted at most, columns a page may be ordered by, columns of a page
+COUNT_CAP = 50_001
+SORTABLE = ("risk_score", "amount", "step", "transaction_type", "jenis_tujuan", "cluster_kmeans", "risk_level", "isFraud", "anomaly_type")
+RESULT_COLUMNS = (
+    "transaction_id", "step", "transaction_type", "amount", "jenis_tujuan", "status_kuras", "cluster_kmeans",
+    "risk_score", "risk_level", "investigation_category", "anomaly_type", "anomaly_reason", "isFraud",
+)
+# final rules: words of the outcome, and how many rules of each sort
+TOP_RULE_OUTCOMES = ("isFraud_yes", "hdbscan_outlier", "cluster_kmeans")
+TOP_RULE_QUOTAS = {"fraud": 4, "hdbscan_outlier": 2, "cluster_kmeans": 2, "other": 5}

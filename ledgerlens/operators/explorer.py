@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.operators import cube as cubes
 from ledgerlens.operators.filters import Filters, cube_predicate, row_predicate, search_mode, token_predicate
 
-COUNT_CAP = 50_001
-SORTABLE = ("risk_score", "amount", "step", "transaction_type", "jenis_tujuan", "cluster_kmeans", "risk_level", "isFraud", "anomaly_type")
-RESULT_COLUMNS = (
-    "transaction_id", "step", "transaction_type", "amount", "jenis_tujuan", "status_kuras", "cluster_kmeans",
-    "risk_score", "risk_level", "investigation_category", "anomaly_type", "anomaly_reason", "isFraud",
-)
+COUNT_CAP, SORTABLE, RESULT_COLUMNS = fixed.COUNT_CAP, fixed.SORTABLE, fixed.RESULT_COLUMNS
 
 
 def search_transactions(

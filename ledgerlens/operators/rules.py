@@ -389,12 +389,11 @@ def _first_distinct(parts: Sequence[DataFrame], n: int) -> DataFrame:
 def select_top10(fraud: DataFrame, report: DataFrame, n: int = 10) -> DataFrame:
     """Four fraud, two outlier, two cluster and five other rules; report rules fill up to ``n``."""
     outcome = "consequents_str"
-    special = ("isFraud_yes", "hdbscan_outlier", "cluster_kmeans")
+    quotas = fixed.TOP_RULE_QUOTAS
     pieces = [
-        (fraud, 4),
-        (report.filter(mentions(outcome, ["hdbscan_outlier"])), 2),
-        (report.filter(mentions(outcome, ["cluster_kmeans"])), 2),
-        (report.filter(~mentions(outcome, special)), 5),
+        (fraud, quotas["fraud"]),
+        *[(report.filter(mentions(outcome, [word])), quotas[word]) for word in ("hdbscan_outlier", "cluster_kmeans")],
+        (report.filter(~mentions(outcome, fixed.TOP_RULE_OUTCOMES)), quotas["other"]),
     ]
     parts = [_ranked(rules, i).filter(F.col("_at") <= k) for i, (rules, k) in enumerate(pieces)]
     return _first_distinct([*parts, _ranked(report, len(parts))], n)
