@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MERGING_TASKS = 16
+MERGING_TASKS = 4
 ROUNDING = 1e-13
 
 
