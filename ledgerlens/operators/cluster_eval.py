@@ -6,12 +6,16 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.distance import Features, own_and_other
+from ledgerlens.functions.centre_search import RATIO, CentreIndex, usable
+from ledgerlens.functions.distance import Features, own_and_other, vector
+from ledgerlens.functions.ordering import with_global_index
 from ledgerlens.functions.quantiles import numeric_profile
+from ledgerlens.functions.skew import join_by_key
 from ledgerlens.operators.quality import count_where, numeric_columns
+from ledgerlens.session import cut_lineage
 
 MAX_CLUSTERS = 1_000
 
@@ -77,8 +81,11 @@ def _variance_ratio(between: float, within: float, k: int, n: int) -> float | No
 def cluster_quality(df: DataFrame, features: Features, label: str) -> dict[str, float]:
     """Approximate silhouette, Davies-Bouldin and Calinski-Harabasz, plus within-cluster squares.
 
-    Two passes over the rows; what follows is arithmetic on one line per cluster.
+    Two passes over the rows; what follows is arithmetic on one line per cluster. More than
+    ``MAX_CLUSTERS`` clusters are left to ``many_cluster_quality``.
     """
+    if df.select(label).distinct().limit(MAX_CLUSTERS + 1).count() > MAX_CLUSTERS:
+        return many_cluster_quality(df, features, label)
     found = centroids(df, features, label)
     spread = {r[label]: r for r in _spread(df, features, label, found)}
     k, n = len(found.labels), sum(found.sizes)
@@ -99,6 +106,56 @@ def cluster_quality(df: DataFrame, features: Features, label: str) -> dict[str,
     }
 
 
+def centroid_table(df: DataFrame, features: Features, label: str) -> DataFrame:
+    """label, n, point and a consecutive id in the order of the labels, for any number of labels."""
+    width = width_of(df, features)
+    points = df.select(label, vector(features).alias("_point"))
+    means = points.groupBy(label).agg(F.count("*").alias("n"), *[F.avg(F.get("_point", F.lit(i))).alias(f"_m{i}") for i in range(width)])
+    table = means.select(label, "n", F.array(*[f"_m{i}" for i in range(width)]).alias("point"))
+    return cut_lineage(with_global_index(table, label, name="id"))
+
+
+def _squared(a: str, b: str) -> Column:
+    apart = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    return F.aggregate(apart, F.lit(0.0), lambda total, v: total + v)
+
+
+def many_cluster_quality(df: DataFrame, features: Features, label: str) -> dict[str, float]:
+    """The indices of ``cluster_quality`` for any number of clusters; the driver sees sums only.
+
+    Rows find the nearest other centre, and centres their worst partner, by a search that
+    opens only the centre cells that bounds leave open. Rows without a label, or with a null or
+    non-finite feature, take no part.
+    """
+    rows = df.select(F.col(label).alias("label"), vector(features).alias("point")).filter(F.col("label").isNotNull() & usable("point"))
+    rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
+    clusters = centroid_table(rows, "point", "label")
+    named = clusters.select("label", "n", F.col("id").alias("own"), F.col("point").alias("centre"))
+    owned = join_by_key(rows, named, ["label"], "n", "inner").select("row", "own", _squared("point", "centre").alias("weight"), "point")
+    unweighted = clusters.select("id", "point", F.lit(0.0).alias("weight"))
+    nearest_other = CentreIndex.build(unweighted).search(owned)
+    own, other = F.sqrt("weight"), F.sqrt("value")
+    spread = cut_lineage(nearest_other.groupBy(F.col("own").alias("id")).agg(
+        F.sum(own).alias("distance"), F.sum("weight").alias("squared"),
+        F.sum(F.coalesce(F.try_divide(other - own, F.greatest(own, other)), F.lit(0.0))).alias("silhouette"),
+    ))
+    weighted = cut_lineage(clusters.join(spread, "id").withColumn("weight", F.col("distance") / F.col("n")))
+    worst = CentreIndex.build(weighted).search(weighted.select(F.col("id").alias("row"), F.col("id").alias("own"), "weight", "point"), RATIO)
+    width = width_of(weighted, "point")
+    grand = weighted.agg(*[F.sum(F.get("point", F.lit(i)) * F.col("n")) / F.sum("n") for i in range(width)]).first()
+    total = weighted.withColumn("grand", F.array(*[F.lit(float(v)) for v in grand])).agg(
+        F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("squared").alias("within"), F.sum("silhouette").alias("silhouette"),
+        F.sum(F.col("n") * _squared("point", "grand")).alias("between"),
+    ).first()
+    k, n = total["k"], total["n"]
+    return {
+        "wcss": total["within"],
+        "silhouette": total["silhouette"] / n,
+        "davies_bouldin": worst.agg(F.avg(F.coalesce("value", F.lit(0.0)))).first()[0] if k > 1 else None,
+        "calinski_harabasz": _variance_ratio(total["between"], total["within"], k, n),
+    }
+
+
 def quality_index(df: DataFrame, features: Features, label: str, index: str) -> DataFrame:
     value = cluster_quality(df, features, label)[index]
     return df.sparkSession.createDataFrame([(None if value is None else float(value),)], f"{index} double")

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.components import connected_components
+from ledgerlens.functions.distance import squared_distances
 from ledgerlens.functions.ordering import with_global_index
 from ledgerlens.functions.quantiles import values_at_ranks
 from ledgerlens.functions.skew import join_by_key
@@ -39,15 +40,6 @@ OTHERS_AT_ONCE = 1_000
 # --- the join of points with the points around them -------------------------------------
 
 
-def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """By differences, dimension by dimension, so equal points are exactly 0 apart."""
-    total = np.zeros((len(a), len(b)))
-    for x, y in zip(a.T, b.T):
-        apart = x[:, None] - y[None, :]
-        total += apart * apart
-    return total
-
-
 def ranges(points: DataFrame, dimensions: int) -> list[float]:
     """Largest minus smallest value of the first ``dimensions`` coordinates."""
     if not dimensions:

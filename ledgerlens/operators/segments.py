@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import fixed_values as fixed
+from ledgerlens.functions.centre_search import CentreIndex
 from ledgerlens.functions.distance import Features, nearest, vector
 from ledgerlens.operators import density, sampling
 from ledgerlens.operators import microclusters as micro
@@ -64,8 +65,21 @@ def fit_kmeans(
     return KMeansFit(features, sorted(centres), cost)
 
 
-def nearest_centroid_assign(df: DataFrame, features: Features, centres: Sequence[Sequence[float]], name: str = "cluster") -> DataFrame:
-    return df.withColumn(name, nearest(features, centres)["id"])
+def nearest_centroid_assign(
+    df: DataFrame, features: Features, centres: Sequence[Sequence[float]] | DataFrame, name: str = "cluster"
+) -> DataFrame:
+    """The number of the nearest centre, the lowest among equals.
+
+    Centres given as a table (id, point) may be of any number; rows with a null or non-finite
+    feature then stay without a centre.
+    """
+    if not isinstance(centres, DataFrame):
+        return df.withColumn(name, nearest(features, centres)["id"])
+    stored = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    points = stored.select(F.col("_row").alias("row"), F.lit(-1).alias("own"), F.lit(0.0).alias("weight"), vector(features).alias("point"))
+    found = CentreIndex.build(centres.select("id", "point", F.lit(0.0).alias("weight"))).search(points)
+    chosen = found.select(F.col("row").alias("_row"), F.col("id").alias(name))
+    return stored.join(chosen, "_row", "left").drop("_row")
 
 
 def kmeans_segment(df: DataFrame, features: Features, k: int = 5, restarts: int = 10, seed: int = 42, name: str = "cluster_kmeans") -> DataFrame:

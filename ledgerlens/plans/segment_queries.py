@@ -11,6 +11,7 @@ from ledgerlens.operators.filters import Filters
 from ledgerlens.plans.registry import MODEL_FEATURES, query, rounded, serving
 from ledgerlens.plans.sql_views import SCORED_IN
 from ledgerlens.plans.stages import prepared
+from ledgerlens.session import cut_lineage
 from ledgerlens.sources.ledger import scoring_input, table
 
 _VECTORS = """WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -148,6 +149,47 @@ def riskiest_cluster_flag(spark, folder):
     return cluster_eval.riskiest_cluster_flag(scoring_input(spark, folder), "cluster_kmeans").select("transaction_id", "is_riskiest")
 
 
+_MANY = (
+    _LOGGED.replace("logged AS (SELECT ", "logged AS (SELECT transaction_id, ") + f", labelled AS (SELECT transaction_id, {_cell(0.3)} AS label, " + ", ".join(CELL_FEATURES) + " FROM logged), "
+    "middle AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS id, count(*) AS n, " + ", ".join(f"avg({f}) AS m_{f}" for f in CELL_FEATURES) + " FROM labelled GROUP BY label), "
+    "apart AS (SELECT transaction_id, labelled.label, middle.label AS centre, id, " + " + ".join(f"({f} - m_{f}) * ({f} - m_{f})" for f in CELL_FEATURES) + " AS sq FROM labelled, middle)"
+)
+
+
+def _celled(spark, folder):
+    """The ledger with a label per occupied grid cell: thousands of clusters."""
+    label = segments.grid_cell(CELL_FEATURES, segments.cell_width(0.3, len(CELL_FEATURES)))
+    return _logged(spark, folder).withColumn("label", label)
+
+
+@query("nearest_centroid_assign_many", _MANY + " SELECT transaction_id, arg_min(id, (sq, id)) AS cluster FROM apart GROUP BY 1")
+def nearest_centroid_assign_many(spark, folder):
+    rows = _celled(spark, folder)
+    centres = cluster_eval.centroid_table(rows, CELL_FEATURES, "label")
+    return segments.nearest_centroid_assign(rows, CELL_FEATURES, centres).select("transaction_id", "cluster")
+
+
+@query(
+    "cluster_quality_many",
+    _MANY + ", owned AS (SELECT transaction_id, label, min(sq) FILTER (WHERE label = centre) AS a2, min(sq) FILTER (WHERE label <> centre) AS b2 FROM apart GROUP BY 1, 2), "
+    "spread_of AS (SELECT label, avg(sqrt(a2)) AS s FROM owned GROUP BY 1), measured AS (SELECT * FROM middle JOIN spread_of USING (label)), "
+    "worst_of AS (SELECT x.label, max((x.s + y.s) / sqrt(" + " + ".join(f"(x.m_{f} - y.m_{f}) * (x.m_{f} - y.m_{f})" for f in CELL_FEATURES) + ")) AS worst FROM measured x JOIN measured y ON x.label <> y.label GROUP BY 1), "
+    "grand AS (SELECT " + ", ".join(f"avg({f}) AS g_{f}" for f in CELL_FEATURES) + " FROM labelled), "
+    "totals AS (SELECT (SELECT sum(middle.n * (" + " + ".join(f"(m_{f} - g_{f}) * (m_{f} - g_{f})" for f in CELL_FEATURES) + ")) FROM middle, grand) AS between_ss, "
+    "(SELECT sum(a2) FROM owned) AS within_ss, (SELECT count(*) FROM middle) AS k, (SELECT count(*) FROM labelled) AS n) "
+    "SELECT k AS clusters, round(within_ss, 4) AS wcss, round((SELECT avg((sqrt(b2) - sqrt(a2)) / greatest(sqrt(a2), sqrt(b2))) FROM owned), 8) AS silhouette, "
+    "round((SELECT avg(worst) FROM worst_of), 6) AS davies_bouldin, round((between_ss / (k - 1)) / (within_ss / (n - k)), 3) AS calinski_harabasz FROM totals",
+)
+
+
+def cluster_quality_many(spark, folder):
+    rows = cut_lineage(_celled(spark, folder))
+    q = cluster_eval.many_cluster_quality(rows, CELL_FEATURES, "label")
+    clusters = rows.select("label").distinct().count()
+    values = (clusters, round(q["wcss"], 4), round(q["silhouette"], 8), round(q["davies_bouldin"], 6), round(q["calinski_harabasz"], 3))
+    return spark.createDataFrame([values], "clusters long, wcss double, silhouette double, davies_bouldin double, calinski_harabasz double")
+
+
 PROFILED = ("step", "amount", "oldbalanceOrg", "oldbalanceDest", "origError", "destError", "isDestMerchant", "origDrainedToZero", "isFraud")
 
 
