@@ -11,6 +11,7 @@ from ledgerlens.plans.sql_views import RULES, SCORED, SCORED_IN, TX
 from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import readers, writers
+from ledgerlens.sources.keyed_table import KeyedTable
 from ledgerlens.sources.ledger import scoring_input, table, transactions
 
 
@@ -95,6 +96,36 @@ def keyed_overwrite_sink(spark, folder):
     return writers.keyed_overwrite_sink(table(spark, folder, "events"), scratch_path(spark, "keyed"), "user_id", version="event_id")
 
 
+def _upserted(spark, folder):
+    """The later half of the events first, then the earlier half, then the later half once more."""
+    events = table(spark, folder, "events")
+    middle = events.agg(F.avg("event_id")).first()[0]
+    target = KeyedTable(spark, scratch_path(spark, "upsert"), "user_id", "event_id")
+    later, earlier = events.filter(F.col("event_id") >= middle), events.filter(F.col("event_id") < middle)
+    return target, [target.upsert(batch) for batch in (later, earlier, later)]
+
+
+@query("keyed_upsert", "SELECT * FROM events WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def keyed_upsert(spark, folder):
+    return _upserted(spark, folder)[0].read()
+
+
+@query(
+    "keyed_upsert_counts",
+    "WITH h AS (SELECT user_id, event_id >= (SELECT avg(event_id) FROM events) AS late FROM events), "
+    "u AS (SELECT user_id, bool_or(late) AS late, bool_or(NOT late) AS early FROM h WHERE user_id IS NOT NULL GROUP BY 1), "
+    "r AS (SELECT late, count(*) AS received, count(*) - count(user_id) AS failed FROM h GROUP BY 1) "
+    "SELECT 1 AS batch, received, failed, (SELECT count(*) FROM u WHERE late) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS unchanged FROM r WHERE late UNION ALL "
+    "SELECT 2, received, failed, (SELECT count(*) FROM u WHERE NOT late), 0, (SELECT count(*) FROM u WHERE late AND early) FROM r WHERE NOT late UNION ALL "
+    "SELECT 3, received, failed, 0, 0, (SELECT count(*) FROM u WHERE late) FROM r WHERE late",
+)
+
+
+def keyed_upsert_counts(spark, folder):
+    counts = [(i, c.received, c.failed, c.inserted, c.updated, c.unchanged) for i, c in enumerate(_upserted(spark, folder)[1], 1)]
+    return spark.createDataFrame(counts, "batch int, received long, failed long, inserted long, updated long, unchanged long")
+
+
 @query(
     "run_manifest",
     _COUNTS + "SELECT 'batch' AS mode, (SELECT count(*) FROM serving) AS transactions, (SELECT count(*) FROM cube) AS cube, (SELECT count(*) FROM rule_table) AS rules",
