@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import explorer
 from ledgerlens.operators.filters import Filters
-from ledgerlens.plans.registry import cube, query, serving
+from ledgerlens.operators.reason_index import ReasonIndex
+from ledgerlens.plans.registry import STATEMENTS, cube, query, serving
 from ledgerlens.plans.sql_views import CUBE, SERVING
 
 _COLUMNS = ", ".join(explorer.RESULT_COLUMNS)
@@ -82,6 +83,18 @@ def token_search(spark, folder):
     return explorer.token_search(serving(spark, folder), "Forest, drained").select("transaction_id", "anomaly_reason")
 
 
+@query("token_search_indexed", STATEMENTS["token_search"])
+def token_search_indexed(spark, folder):
+    index, rows = ReasonIndex.build(serving(spark, folder))
+    return index.token_search(rows, "Forest, drained").select("transaction_id", "anomaly_reason")
+
+
+@query("free_text_indexed", STATEMENTS["search_mode_free_text"])
+def free_text_indexed(spark, folder):
+    index, rows = ReasonIndex.build(serving(spark, folder))
+    return index.free_text(rows, "drained").select("transaction_id", "risk_score", "anomaly_reason")
+
+
 @query(
     "page_bounds",
     SERVING + "SELECT n, greatest(1, CAST(ceil(least(n, 50000) / 25) AS BIGINT)) AS max_page FROM (SELECT count(*) AS n FROM (SELECT 1 FROM serving WHERE flag_IsoForest LIMIT 50001))",

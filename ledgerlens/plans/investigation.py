@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.operators import cube as cubes
 from ledgerlens.operators import explorer, rule_views, segments
 from ledgerlens.operators.filters import Filters, cube_predicate, search_mode
-from ledgerlens.session import tune
+from ledgerlens.operators.reason_index import ReasonIndex
+from ledgerlens.session import path_exists, tune
 
 NO_FILTER = Filters()
 CACHED_CUBE_ROWS = 1_000_000
@@ -28,6 +30,7 @@ class Investigation:
         self.rows = tables["transactions"]
         self.rules = tables["rules"]
         self.projection = tables.get("projection")
+        self.reasons = ReasonIndex(tables["reasons"], tables["postings"]) if "reasons" in tables else None
         cube = tables["cube"]
         small = cube.limit(CACHED_CUBE_ROWS + 1).count() <= CACHED_CUBE_ROWS
         self.cube = cube.coalesce(1).cache() if small else cube
@@ -35,6 +38,7 @@ class Investigation:
     @classmethod
     def open(cls, spark: SparkSession, folder: str, with_projection: bool = True) -> Investigation:
         names = ["transactions", "cube", "rules", *(["projection"] if with_projection else [])]
+        names += [n for n in ("reasons", "postings") if path_exists(spark, f"{folder}/{n}")]
         return cls({n: tune(spark).read.parquet(f"{folder}/{n}") for n in names})
 
     def ping(self) -> bool:
@@ -111,12 +115,20 @@ class Investigation:
             if by_score:
                 scores, levels = self._page_scores(filters, page * page_size, str(sort_dir).lower().startswith("desc"))
                 rows = rows.filter(F.col("risk_score").isin(scores) & F.col("risk_level").isin(levels))
+        if found and found.mode == "ilike" and self.reasons:
+            rows, filters = self.reasons.free_text(rows, found.operand), replace(filters, search="")
         result = explorer.search_transactions(rows, filters, sort_col, sort_dir, page, page_size)
         if total is None:
-            counted = explorer.capped_count(self.rows, filters) if found is None or found.mode != "id_exact" else result.agg(F.count("*").alias("n"))
+            counted = explorer.capped_count(rows, filters) if found is None or found.mode != "id_exact" else result.agg(F.count("*").alias("n"))
             total = counted.first()["n"]
         return result, total
 
+    def token_search(self, text: str, filters: Filters = NO_FILTER) -> DataFrame:
+        """Word-wise search over reasons; through their index where it is stored."""
+        if self.reasons is None:
+            return explorer.token_search(self.rows, text, filters)
+        return explorer.filter_rows(self.reasons.token_search(self.rows, text), replace(filters, search=""))
+
     def relevance(self, filters: Filters = NO_FILTER) -> DataFrame:
         return cubes.recommendation_relevance(self.cube, self.rules, filters)
 

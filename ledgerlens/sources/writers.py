@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.cluster_eval import cluster_profile_means
+from ledgerlens.operators.reason_index import ReasonIndex
 
 
 def save_parquet(df: DataFrame, path: str) -> DataFrame:
@@ -45,8 +46,13 @@ def save_serving_tables(serving: DataFrame, cube: DataFrame, rules: DataFrame, f
     """Store the row, cube, rule and projection tables for querying.
 
     Rows are split by risk level and range-ordered by id inside a level, so level filters
-    prune folders, ids prune row groups, and the largest level still spans many files.
+    prune folders, ids prune row groups, and the largest level still spans many files. Where
+    rows have reasons, an index of them is stored too (``reasons``, ``postings``).
     """
+    if "anomaly_reason" in serving.columns:
+        index, serving = ReasonIndex.build(serving)
+        for name, table in (("reasons", index.reasons), ("postings", index.postings)):
+            table.write.mode("overwrite").parquet(f"{folder}/{name}")
     layout = ("risk_level", "transaction_id")
     rows = serving.repartitionByRange(*layout).sortWithinPartitions(*layout)
     rows.write.mode("overwrite").partitionBy("risk_level").parquet(f"{folder}/transactions")
