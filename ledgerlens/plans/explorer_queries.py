@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import explorer
 from ledgerlens.operators.filters import Filters
+from ledgerlens.operators.page_map import PageMap, next_page
 from ledgerlens.operators.reason_index import ReasonIndex
 from ledgerlens.plans.registry import STATEMENTS, cube, query, serving
 from ledgerlens.plans.sql_views import CUBE, SERVING
+from ledgerlens.session import cut_lineage, scratch_path
 
 _COLUMNS = ", ".join(explorer.RESULT_COLUMNS)
 _RISKY = Filters(risk_level=("Tinggi", "Kritis"), jenis_tujuan=("Nasabah",), status_kuras=("Terkuras Habis",))
@@ -23,6 +25,22 @@ def search_transactions_page_3(spark, folder):
     return explorer.search_transactions(serving(spark, folder), _RISKY, "amount", "asc", page=3)
 
 
+@query("search_transactions_page_2000", SERVING + f"SELECT {_COLUMNS} FROM serving ORDER BY amount, transaction_id LIMIT 5 OFFSET 9995")
+def search_transactions_page_2000(spark, folder):
+    rows = cut_lineage(serving(spark, folder))
+    return PageMap(spark, scratch_path(spark, "pages"), "amount", "asc").save(rows).page(rows, 2_000, 5)
+
+
+@query("search_transactions_continued", STATEMENTS["search_transactions_page_3"])
+def search_transactions_continued(spark, folder):
+    """The third page, each page going on from the last row of the one before."""
+    rows, after = cut_lineage(serving(spark, folder)), None
+    for _ in range(2):
+        last = next_page(rows, _RISKY, "amount", "asc", after).tail(1)
+        after = (last[0]["amount"], last[0]["transaction_id"]) if last else after
+    return next_page(rows, _RISKY, "amount", "asc", after)
+
+
 def _register_search(name: str, text: str, where: str) -> None:
     @query(name, SERVING + f"SELECT transaction_id, risk_score, anomaly_reason FROM serving WHERE {where}")
     def search(spark, folder):

@@ -12,6 +12,7 @@ from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.operators import cube as cubes
 from ledgerlens.operators import explorer, rule_views, segments
 from ledgerlens.operators.filters import Filters, cube_predicate, search_mode
+from ledgerlens.operators.page_map import PageMap, next_page
 from ledgerlens.operators.reason_index import ReasonIndex
 from ledgerlens.session import path_exists, tune
 
@@ -26,7 +27,8 @@ class Investigation:
     aggregations need no shuffle. Results are DataFrames.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame], folder: str | None = None):
+        self.folder = folder
         self.rows = tables["transactions"]
         self.rules = tables["rules"]
         self.projection = tables.get("projection")
@@ -39,7 +41,7 @@ class Investigation:
     def open(cls, spark: SparkSession, folder: str, with_projection: bool = True) -> Investigation:
         names = ["transactions", "cube", "rules", *(["projection"] if with_projection else [])]
         names += [n for n in ("reasons", "postings") if path_exists(spark, f"{folder}/{n}")]
-        return cls({n: tune(spark).read.parquet(f"{folder}/{n}") for n in names})
+        return cls({n: tune(spark).read.parquet(f"{folder}/{n}") for n in names}, folder)
 
     def ping(self) -> bool:
         return bool(self.cube.head(1))
@@ -104,9 +106,14 @@ class Investigation:
     ) -> tuple[DataFrame, int]:
         """One page and the total.
 
+        Without filters, a stored page map of the order leads straight to the page's rows.
         When the cube can answer the filter and the order is by score, it first tells which
         scores the page can hold, so that only those risk levels' folders are read.
         """
+        if self.folder and filters.is_empty():
+            pages = PageMap(self.rows.sparkSession, self.folder, sort_col if sort_col in explorer.SORTABLE else "risk_score", sort_dir)
+            if pages.exists():
+                return pages.page(self.rows, page, page_size), self.count()
         found = search_mode(filters.search)
         rows, total = self.rows, None
         by_score = sort_col == "risk_score" or sort_col not in explorer.SORTABLE
@@ -123,6 +130,12 @@ class Investigation:
             total = counted.first()["n"]
         return result, total
 
+    def next_page(
+        self, filters: Filters = NO_FILTER, sort_col: str = "risk_score", sort_dir: str = "desc", after: tuple | None = None, page_size: int = 25
+    ) -> DataFrame:
+        """The page after the row with this sort value and id."""
+        return next_page(self.rows, filters, sort_col, sort_dir, after, page_size)
+
     def token_search(self, text: str, filters: Filters = NO_FILTER) -> DataFrame:
         """Word-wise search over reasons; through their index where it is stored."""
         if self.reasons is None:

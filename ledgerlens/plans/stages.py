@@ -15,6 +15,7 @@ from ledgerlens.plans.registry import MODEL_FEATURES
 from ledgerlens.session import cut_lineage, tune
 from ledgerlens.sources import ledger, writers
 
+PAGE_ORDERS = (("risk_score", "desc"), ("amount", "desc"), ("amount", "asc"))
 TYPES = ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER")
 
 
@@ -85,5 +86,6 @@ def run(raw: DataFrame, output: str, key: str = "transaction_id", restarts: int
     pool = rule_views.rule_present(rule_views.merge_rule_pools(top.select(*rule_views.RULE_COLUMNS), report.select(*rule_views.RULE_COLUMNS).unionByName(fraud.select(*rule_views.RULE_COLUMNS))))
     projection = segments.segment_projection_table(serving, [key])
     tables = writers.save_serving_tables(serving, cubes.build_cube(serving), pool, f"{output}/serving", projection)
+    writers.save_page_maps(tables["transactions"], f"{output}/serving", PAGE_ORDERS)
     writers.run_manifest(spark, f"{output}/manifest", "batch", writers.table_counts(tables))
     return tables

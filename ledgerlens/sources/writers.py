@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.cluster_eval import cluster_profile_means
+from ledgerlens.operators.page_map import PageMap
 from ledgerlens.operators.reason_index import ReasonIndex
 
 
@@ -63,6 +64,11 @@ def save_serving_tables(serving: DataFrame, cube: DataFrame, rules: DataFrame, f
     return {name: spark.read.parquet(f"{folder}/{name}") for name in ("transactions", *small)}
 
 
+def save_page_maps(serving: DataFrame, folder: str, orders: Sequence[tuple[str, str]]) -> list[PageMap]:
+    """Number the rows of each (column, direction), so that any page of these orders is a bounded read."""
+    return [PageMap(serving.sparkSession, folder, column, direction).save(serving) for column, direction in orders]
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     return {name: table.count() for name, table in tables.items()}
 
