@@ -5,10 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -17,15 +14,12 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.functions.centre_search import CentreIndex
 from ledgerlens.functions.distance import Features, nearest, vector
-from ledgerlens.operators import density, sampling
+from ledgerlens.operators import density, kmeans, sampling
 from ledgerlens.operators import microclusters as micro
 from ledgerlens.operators.cleaning import model_input, scale, standard_scale_fit
 from ledgerlens.operators.cluster_eval import cluster_quality
 from ledgerlens.operators.filters import Filters, all_of
-from ledgerlens.session import cut_lineage, spread
-
-
-PARALLEL_RUNS = 8
+from ledgerlens.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -37,16 +31,15 @@ class KMeansFit:
     cost: float
 
 
-def _train(points: DataFrame, k: int, seeds: Sequence[int], max_iter: int, weighted: bool) -> tuple[float, list[list[float]]]:
-    """Best of several runs, trained side by side: the scheduler interleaves their jobs."""
-
-    def one(seed: int) -> tuple[float, list[list[float]]]:
-        estimator = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||")
-        model = (estimator.setWeightCol("weight") if weighted else estimator).fit(points)
-        return model.summary.trainingCost, sorted(c.tolist() for c in model.clusterCenters())
-
-    with ThreadPool(min(len(seeds), PARALLEL_RUNS)) as pool:
-        return min(pool.map(inheritable_thread_target(points.sparkSession)(one), seeds))
+def fit_many_kmeans(
+    df: DataFrame, features: Features, ks: Sequence[int], restarts: int = 10, seed: int = 42, max_iter: int = 100, weight: str | None = None
+) -> dict[int, KMeansFit]:
+    """Best of several k-means runs for each number of clusters, all of them in the same passes over all rows."""
+    rows = df.select(vector(features).alias("point"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight"))
+    runs = [kmeans.Run(k, s) for k in ks for s in range(seed, seed + restarts)]
+    fits = kmeans.fit_runs(rows, runs, max_iter)
+    best = {k: min(fit for fit, run in zip(fits, runs) if run.k == k) for k in ks}
+    return {k: KMeansFit(features, centres, cost) for k, (cost, centres) in best.items()}
 
 
 def fit_kmeans(
@@ -54,15 +47,7 @@ def fit_kmeans(
     weight: str | None = None,
 ) -> KMeansFit:
     """Best of several k-means runs, each over all rows at every size."""
-    columns = [array_to_vector(vector(features)).alias("features")]
-    if weight:
-        columns.append(F.col(weight).cast("double").alias("weight"))
-    points = spread(df.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cost, centres = _train(points, k, range(seed, seed + restarts), max_iter, bool(weight))
-    finally:
-        points.unpersist()
-    return KMeansFit(features, sorted(centres), cost)
+    return fit_many_kmeans(df, features, [k], restarts, seed, max_iter, weight)[k]
 
 
 def nearest_centroid_assign(
@@ -89,8 +74,7 @@ def kmeans_segment(df: DataFrame, features: Features, k: int = 5, restarts: int
 def k_sweep(df: DataFrame, features: Features, ks: Sequence[int] = range(2, 8), restarts: int = 10, seed: int = 42) -> DataFrame:
     """Within-cluster squares and the three quality indices for each number of clusters."""
     rows = []
-    for k in ks:
-        fit = fit_kmeans(df, features, k, restarts, seed)
+    for k, fit in fit_many_kmeans(df, features, ks, restarts, seed).items():
         labelled = nearest_centroid_assign(df, features, fit.centres, "_cluster")
         q = cluster_quality(labelled, features, "_cluster")
         rows.append((k, fit.cost, q["silhouette"], q["davies_bouldin"], q["calinski_harabasz"]))
