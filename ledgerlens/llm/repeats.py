@@ -5,13 +5,14 @@ suffixes that stay together through the last digit are exactly the repeated wind
 of one are dropped after every pass.
 
 The first passes run over the whole corpus and must be small, so they take their digit at
-anchors: in every window the smallest fingerprint of ``GRAM`` bytes is an anchor. Equal
-windows have the same anchors at the same places, so windows that are equal meet under
-their anchor's fingerprint (first pass); most of these anchors are equal in all bytes that
-any window around them can hold, which settles all of those windows (second pass). For
-what is left, at the edges of repeated passages, one occurrence per surrounding brings its
-bytes, and the windows around the anchor go through the remaining passes in digits of
-``DIGIT`` bytes.
+anchors: a window's anchor is the leftmost of its smallest fingerprints of ``GRAM`` bytes,
+so that every window belongs to one anchor, and an anchor to windows that start one after
+another. Equal windows have their anchor at the same place, so they meet under its
+fingerprint (first pass); most of these anchors are equal in all bytes of all windows that
+belong to them, which settles all of those windows (second pass). For what is left, at the
+edges of repeated passages, one occurrence per surrounding brings its bytes, and the windows
+of the anchor go through the remaining passes in digits of ``DIGIT`` bytes; groups too large
+for a task count their windows' fingerprints instead of sorting them.
 """
 
 from __future__ import annotations
@@ -74,24 +75,32 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-def anchors(data: bytes, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of a text's anchors, their fingerprints, and those of their surroundings.
+def anchors(data: bytes, threshold: int = THRESHOLD) -> tuple[np.ndarray, ...]:
+    """Positions of a text's anchors, their fingerprints, those of their surroundings, and their room.
 
-    Surroundings are all bytes of all windows around the anchor that the text has room for,
-    with the place of the anchor in them.
+    Surroundings are all bytes of the windows that belong to the anchor, with the place of
+    the anchor in them; the room is the number of these bytes before the anchor (upper 16
+    bits) and from it on (lower 16 bits).
     """
     if len(data) < threshold:
-        return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, _U)
+        return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, _U), np.empty(0, np.int32)
     prints, reach = Fingerprints(data), threshold - GRAM
     grams = prints.every(GRAM)
     smallest = _sliding(grams, reach + 1, np.minimum)
     padding = np.zeros(reach, _U)
     largest = _sliding(np.concatenate([padding, smallest, padding]), reach + 1, np.maximum)
     places = np.flatnonzero(largest == grams)
-    low, high = np.maximum(places - reach, 0), np.minimum(places + threshold, len(data))
-    with np.errstate(over="ignore"):
-        room = mix((places - low).astype(_U) * _U(threshold + 1) + (high - places).astype(_U))
-        return places, grams[places], mix(prints.of(low, high) ^ room)
+    # The anchor changes where the minimum does, and where the window leaves its anchor behind.
+    left_behind = grams[: len(smallest) - 1] == smallest[:-1]
+    first = np.flatnonzero(np.concatenate([[True], (smallest[1:] != smallest[:-1]) | left_behind]))
+    last = np.concatenate([first[1:], [len(smallest)]]) - 1
+    # The leftmost place from the first window's start on that has its minimum.
+    values, rank = np.unique(grams[places], return_inverse=True)
+    ranked = np.sort(rank * len(data) + places)
+    base = np.searchsorted(values, smallest[first]) * len(data)
+    place = ranked[np.searchsorted(ranked, base + first)] - base
+    room = ((place - first) << 16) + (last + threshold - place)
+    return place, smallest[first], mix(prints.of(first, last + threshold) ^ mix(room.astype(_U))), room.astype(np.int32)
 
 
 def repeated_windows(surroundings: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray, threshold: int):
@@ -153,26 +162,25 @@ def _anchor_rows(df: DataFrame, threshold: int) -> DataFrame:
         for batch in batches:
             ids, marks = batch.column(0), batch.column(2)
             found = [anchors((t or "").encode(), threshold) for t in batch.column(1).to_pylist()]
-            owner = pa.array(np.repeat(np.arange(len(found)), [len(p) for p, _, _ in found]))
+            owner = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
             if not len(owner):
                 continue
-            place, gram, around = (np.concatenate(c) for c in zip(*found))
+            place, gram, around, room = (np.concatenate(c) for c in zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(gram.view(np.int64)), pa.array(around.view(np.int64)),
-                    ids.take(owner), marks.take(owner), pa.array(place.astype(np.int32)),
+                    ids.take(owner), marks.take(owner), pa.array(place.astype(np.int32)), pa.array(room),
                 ],
-                names=["gram", "around", "doc_id", "mark", "place"],
+                names=["gram", "around", "doc_id", "mark", "place", "room"],
             )
 
-    return df.mapInArrow(run, "gram bigint, around bigint, doc_id bigint, mark int, place int")
+    return df.mapInArrow(run, "gram bigint, around bigint, doc_id bigint, mark int, place int, room int")
 
 
-def _with_bytes(texts: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
+def _with_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Bytes around the wanted anchors: (gram, around, times, doc_id, mark, place, left, right, bytes)."""
-    reach = threshold - GRAM
     per_text = wanted.groupBy("doc_id", "mark").agg(
-        F.collect_list(F.struct("gram", "around", "times", "place")).alias("wanted")
+        F.collect_list(F.struct("gram", "around", "times", "place", "room")).alias("wanted")
     )
     same = texts["doc_id"].eqNullSafe(per_text["doc_id"]) & (texts["mark"] == per_text["mark"])
     joined = texts.join(per_text, same).select(texts["doc_id"], texts["mark"], "packed", "wanted")
@@ -185,9 +193,8 @@ def _with_bytes(texts: DataFrame, wanted: DataFrame, threshold: int) -> DataFram
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpack(batch.column(2)), batch.column(3).to_pylist())
             for doc_id, mark, data, asked in rows:
                 for w in asked:
-                    place = w["place"]
-                    low, high = max(0, place - reach), min(len(data), place + threshold)
-                    row = (w["gram"], w["around"], w["times"], doc_id, mark, place, place - low, high - place, data[low:high])
+                    place, left, right = w["place"], w["room"] >> 16, w["room"] & 0xFFFF
+                    row = (w["gram"], w["around"], w["times"], doc_id, mark, place, left, right, data[place - left : place + right])
                     for column, value in zip(out, row):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
@@ -284,26 +291,25 @@ def _dealt_windows(rows: DataFrame, threshold: int) -> DataFrame:
 
 def find_repeats(df: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per text with repeats: doc_id, mark, and ``found``: places with the stretches around them that repeat."""
-    reach = threshold - GRAM
     rows = _anchor_rows(_documents(df), threshold)  # twice: cheaper than keeping all anchors on disk
     # First pass: fingerprints that occur more than once.
     more = rows.groupBy("gram").count().filter("count > 1").select("gram")
     rows = stored(rows.join(more, "gram", "left_semi"))
-    # Second pass: all that any window can hold is equal.
+    # Second pass: all bytes of the windows that belong to the anchor are equal.
     classes = rows.groupBy("gram", "around").agg(
-        F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "place")).alias("one")
+        F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "place", "room")).alias("one")
     )
     classes = stored(classes)
     whole = rows.join(classes.filter("times > 1").select("gram", "around"), ["gram", "around"], "left_semi")
     settled = whole.select(
         "doc_id", "mark", "place",
-        F.array(F.struct(F.lit(-reach).alias("low"), F.lit(threshold).alias("high"))).alias("spans"),
+        F.array(F.struct((-F.shiftright("room", 16)).alias("low"), F.col("room").bitwiseAND(0xFFFF).alias("high"))).alias("spans"),
     )
     # The other passes: groups in which some surroundings occur once.
     groups = classes.groupBy("gram").agg(F.count("*").alias("members"), F.min("times").alias("fewest"))
     groups = groups.filter("members > 1 AND fewest = 1").select("gram", "members")
     wanted = classes.join(groups, "gram").select("gram", "around", "times", "one.*")
-    around = _with_bytes(texts, wanted, threshold)
+    around = _with_bytes(texts, wanted)
     large = groups.filter(F.col("members") > SURROUNDINGS_PER_TASK_GROUP).select("gram")
     if large.isEmpty():
         edges = _sorted_groups(around, threshold)

@@ -449,3 +449,26 @@ def test_recall_of_nearest_neighbours_with_default_blocks(spark):
         best = [i for i in ids[np.lexsort((ids, distance))] if i != q][:10]
         hits, total = hits + sum((q, i) in found for i in best), total + len(best)
     assert hits / total >= 0.9
+
+
+def test_every_window_belongs_to_its_leftmost_smallest_gram():
+    rng = np.random.default_rng(3)
+    for trial in range(200):
+        size = int(rng.choice([0, 199, 200, 201, 260, 700]))
+        data = bytes(rng.integers(97, 97 + int(rng.choice([1, 2, 26])), size).astype(np.uint8))
+        if trial % 3 == 0:
+            data = (data[: int(rng.integers(1, 60))] * size)[:size]
+        owners = {}
+        places, _, _, room = repeats.anchors(data)
+        for place, bytes_around in zip(places.tolist(), room.tolist()):
+            before, after = bytes_around >> 16, bytes_around & 0xFFFF
+            for start in range(place - before, place + after - repeats.THRESHOLD + 1):
+                assert start not in owners
+                owners[start] = place
+        wanted = {}
+        if size >= repeats.THRESHOLD:
+            grams = repeats.Fingerprints(data).every(repeats.GRAM).tolist()
+            for start in range(size - repeats.THRESHOLD + 1):
+                window = grams[start : start + repeats.THRESHOLD - repeats.GRAM + 1]
+                wanted[start] = start + window.index(min(window))
+        assert owners == wanted
