@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,6 +124,18 @@ def point(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes >> _U(64 - POINT_GROUPS.bit_length() + 1)).astype(np.int64), minlength=POINT_GROUPS)
 
 
+def packed_point(counts: np.ndarray) -> bytes:
+    """A point for a shuffle: one byte a count where all fit, four otherwise, compressed."""
+    return zstandard.compress(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes(), 1)
+
+
+def unpacked_points(data: list[bytes]) -> np.ndarray:
+    """The points of some sets, one a row."""
+    expand = zstandard.ZstdDecompressor()
+    plain = [expand.decompress(d) for d in data]
+    return np.stack([np.frombuffer(d, "u1" if len(d) == POINT_GROUPS else "<u4") for d in plain]).astype(np.int32)
+
+
 def parities(hashes: np.ndarray) -> np.ndarray:
     """For each cell of a finer cut, whether a set has an odd number of shingles in it, as 64-bit words.
 
@@ -270,7 +283,7 @@ def _sets(df: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s).astype("<u4").tobytes() for s in sets], pa.binary()),
+                    pa.array([packed_point(point(s)) for s in sets], pa.binary()),
                     pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                     batch.column(1),
                     *_set_ids(sets),
@@ -317,8 +330,7 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
     names = ["doc_id", "partner", "bound", "more"]
 
     def best(ids: np.ndarray, component: np.ndarray, sizes: np.ndarray, points: list[bytes]) -> pa.RecordBatch:
-        counts = np.frombuffer(b"".join(points), "<u4").reshape(len(points), POINT_GROUPS).astype(np.int32)
-        a, b, bound, more = CountTree(counts, sizes, component).best(like, most)
+        a, b, bound, more = CountTree(unpacked_points(points), sizes, component).best(like, most)
         return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(bound), pa.array(more)], names=names)
 
     def run(batches):

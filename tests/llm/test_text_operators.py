@@ -472,3 +472,10 @@ def test_every_window_belongs_to_its_leftmost_smallest_gram():
                 window = grams[start : start + repeats.THRESHOLD - repeats.GRAM + 1]
                 wanted[start] = start + window.index(min(window))
         assert owners == wanted
+
+
+def test_points_come_back_as_they_were():
+    rng = np.random.default_rng(8)
+    points = [ngram_join.point(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)) for n in (0, 1, 100, 200_000)]
+    back = ngram_join.unpacked_points([ngram_join.packed_point(p) for p in points])
+    assert (back == np.stack(points)).all() and back.sum(axis=1).tolist() == [0, 1, 100, 200_000]
