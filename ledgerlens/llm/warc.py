@@ -147,7 +147,9 @@ def read(selected: DataFrame) -> DataFrame:
 
     The body of a response is checked against the digest in its header; a wrong one raises.
     """
-    ranges = byte_ranges(selected).select("file", "start", "end", "records").repartition("file", "start")
+    # A number of tasks is asked for, since reads look small to the planner whatever they fetch.
+    tasks = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = byte_ranges(selected).select("file", "start", "end", "records").repartition(tasks, "file", "start")
 
     def parsed(batch: pa.RecordBatch) -> Iterator[tuple]:
         for row in batch.to_pylist():
