@@ -2,8 +2,9 @@
 
 A document is the set of its hashed word shingles. The hash space is cut into groups, and
 the counts per group are the document's point. For two documents the overlap is at most the
-sum of their coordinate minima, which prunes nodes and pairs of an R-tree; what is left is
-verified on the sets themselves.
+sum of their coordinate minima, which prunes nodes and pairs of an R-tree; the parities of
+finer counts rule out most of the other pairs before they leave the tree, and what is left
+is verified on the sets themselves.
 
 The tree is distributed by the groups: two sets that are alike enough differ in few
 shingles, so when the space is cut into more groups than they may differ in, at least one
@@ -60,6 +61,9 @@ class Likeness:
     def may_link(self, differing: Column, sizes: Column) -> Column:
         return differing * (self.share + self.share_of) <= sizes * (self.share_of - self.share)
 
+    def may_differ(self, differing: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return differing * (self.share + self.share_of) <= sizes * (self.share_of - self.share)
+
     def linked(self, shared: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return shared * self.share_of >= (sizes - shared) * self.share
 
@@ -149,8 +153,8 @@ def parities(hashes: np.ndarray) -> np.ndarray:
 class CountTree:
     """An R-tree over count vectors, bulk-loaded by halving along the widest coordinate."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, groups: np.ndarray):
-        self.points, self.sizes, self.groups = points, sizes, groups
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, groups: np.ndarray, parity: np.ndarray | None = None):
+        self.points, self.sizes, self.groups, self.parity = points, sizes, groups, parity
         self.root = self._load(np.arange(len(points)))
 
     def _load(self, rows: np.ndarray) -> tuple:
@@ -197,7 +201,7 @@ class CountTree:
         return rows, partners, scores, more[rows]
 
     def pairs(self, like: Likeness) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Pairs of rows of different groups whose summed minima allow a link, each pair once, with the bound."""
+        """Pairs of rows of different groups that may be linked by summed minima and parities, each pair once, with the bound."""
         todo = [(self.root, self.root)]
         while todo:
             a, b = todo.pop()
@@ -223,6 +227,10 @@ class CountTree:
         if same:
             keep = np.triu(keep, 1)
         x, y = np.nonzero(keep)
+        if self.parity is not None:
+            odd = np.bitwise_count(self.parity[a[x]] ^ self.parity[b[y]]).sum(axis=1, dtype=np.int64)
+            near = like.may_differ(odd, sizes[x, y])
+            x, y = x[near], y[near]
         return a[x], b[y], bound[x, y] / sizes[x, y]
 
 
@@ -324,13 +332,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
     """Pairs (u, v, more) from the trees of the blocks: the best partners of every document.
 
-    ``rows`` are (key, doc_id, component, size, point); ``more`` says that a document has
-    partners beyond its ``most`` best ones.
+    ``rows`` are (key, doc_id, component, size, point, parity); ``more`` says that a document
+    has partners beyond its ``most`` best ones. Pairs that are no links are as many as the
+    square of a block's documents, so parities drop them here and not behind a shuffle.
     """
     names = ["doc_id", "partner", "bound", "more"]
 
-    def best(ids: np.ndarray, component: np.ndarray, sizes: np.ndarray, points: list[bytes]) -> pa.RecordBatch:
-        a, b, bound, more = CountTree(unpacked_points(points), sizes, component).best(like, most)
+    def best(ids: np.ndarray, component: np.ndarray, sizes: np.ndarray, points: list[bytes], parity: np.ndarray) -> pa.RecordBatch:
+        a, b, bound, more = CountTree(unpacked_points(points), sizes, component, parity).best(like, most)
         return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(bound), pa.array(more)], names=names)
 
     def run(batches):
@@ -351,11 +360,12 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
             return
         keys, ids, component, sizes = (rows.column(c).to_numpy() for c in ("key", "doc_id", "component", "size"))
         points = rows.column("point").to_pylist()
+        parity = rows.column("parity").combine_chunks().flatten().to_numpy().view(_U).reshape(len(keys), -1)
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-            yield best(ids[low:high], component[low:high], sizes[low:high], points[low:high])
+            yield best(ids[low:high], component[low:high], sizes[low:high], points[low:high], parity[low:high])
 
-    dealt = rows.select("key", "doc_id", "component", "size", "point").repartition("key").sortWithinPartitions("key")
+    dealt = rows.select("key", "doc_id", "component", "size", "point", "parity").repartition("key").sortWithinPartitions("key")
     partners = dealt.mapInArrow(run, "doc_id bigint, partner bigint, bound double, more boolean")
     partners = partners.groupBy("doc_id", "partner").agg(F.max("bound").alias("bound"), F.max("more").alias("more"))
     order = Window.partitionBy("doc_id").orderBy(F.desc("bound"), "partner")
@@ -369,7 +379,7 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
 
 
 def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, doc_id, component, size, point) of the blocks that hold more than one component."""
+    """(key, doc_id, component, size, point, parity) of the blocks that hold more than one component."""
     placed = members.select("key", "doc_id").join(found, "doc_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
     blocks = placed.groupBy("key").agg(
@@ -382,7 +392,7 @@ def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFra
     # Blocks with the same members are one.
     apart = blocks.filter("low != high").groupBy("n", "first", "second").agg(F.min("key").alias("key"))
     rows = placed.join(apart.select("key"), "key", "left_semi")
-    return rows.join(sets.select("doc_id", "size", "point"), "doc_id")
+    return rows.join(sets.select("doc_id", "size", "point", "parity"), "doc_id")
 
 
 def _in_blocks(keyed: DataFrame) -> DataFrame:
