@@ -1,6 +1,7 @@
 """Many k-means runs in shared passes."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +61,20 @@ def test_weights_repeated_rows_and_bad_rows(spark):
     assert same == [(0.0, [[1.0, 2.0]] * 3), (0.0, [[1.0, 2.0]])]
     with pytest.raises(ValueError):
         fit_runs(frame(spark, points).filter(F.lit(False)), [Run(2, 1)])
+
+
+def test_a_pass_over_blocks_adds_up_every_point_once():
+    rng = np.random.default_rng(4)
+    points, weights = rng.integers(0, 6, size=(5_000, 3)).astype(float), rng.integers(1, 4, 5_000).astype(float)
+    batch = pa.RecordBatch.from_pydict({"point": pa.array(points.tolist()), "weight": pa.array(weights), "hash": pa.array(np.arange(5_000))})
+    blocks = list(kmeans._pack(iter([batch.slice(0, 10), batch.slice(10)])))
+    assert [len(b["weights"][0].as_py()) // 8 for b in blocks] == [10, 2_048, 2_048, 894]
+    # Whole numbers, so that many points are equally far from two centres: the lowest gets them.
+    centres = {3: np.array([[1.0, 1, 1], [3, 1, 1], [1, 3, 5]]), 8: np.array([[2.0, 2, 2], [2, 2, 2]])}
+    (found,) = kmeans._sums(centres)(iter(blocks))
+    lines = found.to_pylist()
+    assert [(r["run"], r["centre"]) for r in lines] == [(3, 0), (3, 1), (3, 2), (8, 0), (8, 1)]
+    for line in lines:
+        at = ((points[:, None] - centres[line["run"]][None]) ** 2).sum(-1).argmin(1) == line["centre"]
+        assert line["weight"] == weights[at].sum()
+        assert [line[f"s{j}"] for j in range(3)] == pytest.approx((points[at] * weights[at, None]).sum(0))
