@@ -28,12 +28,14 @@ from ledgerlens.functions.components import connected_components
 from ledgerlens.functions.distance import squared_distances
 from ledgerlens.functions.ordering import with_global_index
 from ledgerlens.functions.quantiles import values_at_ranks
+from ledgerlens.functions.rowdigest import HALVES, digest_halves
 from ledgerlens.functions.skew import join_by_key
 from ledgerlens.operators.microclusters import MicroClusters, Space
 from ledgerlens.session import cut_lineage
 
 GRID_DIMENSIONS = 3
 POINTS_PER_PART = 2_000
+PARTS_LABELLED_IN_ONE = 8
 OTHERS_AT_ONCE = 1_000
 
 
@@ -62,7 +64,8 @@ def _kind_key(space: Space, width: float) -> Column:
 
 
 def meet(
-    own: DataFrame, others: DataFrame, space: Space, width: float, dims: Sequence[int], kernel: Callable[..., "Kernel"], schema: str
+    own: DataFrame, others: DataFrame, space: Space, width: float, dims: Sequence[int], kernel: Callable[..., "Kernel"], schema: str,
+    parts_in_one: int = 1,
 ) -> DataFrame:
     """Show every point of ``own`` the points of ``others`` within ``width`` (and more), and return what ``kernel`` made of them.
 
@@ -73,7 +76,7 @@ def meet(
     around = F.array(*[F.array(*[b + F.lit(s) for b, s in zip(base, step)]) for step in steps])
     placed = own.select("id", "n", "point", _kind_key(space, width).alias("kind_key"), F.array(*base).alias("block"))
     blocks = placed.groupBy("kind_key", "block").agg(F.count("*").alias("points"))
-    blocks = cut_lineage(blocks.withColumn("parts", F.ceil(F.col("points") / POINTS_PER_PART).cast("int")))
+    blocks = cut_lineage(blocks.withColumn("parts", F.ceil(F.col("points") / (POINTS_PER_PART * parts_in_one)).cast("int")))
     mine = join_by_key(placed, blocks, ["kind_key", "block"], "points", "inner")
     mine = mine.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     near = others.select("id", "n", "point", "label", _kind_key(space, width).alias("kind_key"), F.explode(around).alias("block"))
@@ -205,21 +208,49 @@ class _Links(Kernel):
 
 
 class _Nearest(Kernel):
-    """The label of each point's nearest other point within reach; ties go to the smallest id."""
+    """The label of each point's nearest other point within reach; ties go to the smallest id.
+
+    A matrix product gives distances up to a rounding error, whose bound leaves each point
+    the few others that may be its nearest; only these are measured by differences.
+    """
 
     def __init__(self, own: _Points, reach: float):
         super().__init__(own)
         self.limit = reach * reach
         self.best = np.full(len(own.ids), np.inf)
         self.label = np.full(len(own.ids), -1, np.int64)
+        self.origin: np.ndarray | None = None
 
     def add(self, others: _Points) -> None:
-        distances = squared_distances(self.own.points, others.points)
-        at = distances.argmin(axis=1)  # the first, and points come by id
-        found = distances[np.arange(len(at)), at]
-        closer = (found <= self.limit) & (found < self.best)
-        self.best[closer] = found[closer]
-        self.label[closer] = others.labels[at[closer]]
+        if self.origin is None:
+            self.origin = np.nan_to_num(others.points[0], posinf=0.0, neginf=0.0)
+        for start in range(0, len(self.own.ids), POINTS_PER_PART):
+            self._add(slice(start, start + POINTS_PER_PART), others)
+
+    def _add(self, at: slice, others: _Points) -> None:
+        x, y, best = self.own.points[at], others.points, self.best[at]
+        row, column = self._candidates(x, y, best)
+        found = np.zeros(len(row))
+        for a, b in zip(x.T, y.T):
+            apart = a[row] - b[column]
+            found += apart * apart
+        order = np.lexsort((column, found, row))  # points come by id
+        row, column, found = row[order], column[order], found[order]
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        closer = first[(found[first] <= self.limit) & (found[first] < best[row[first]])]
+        self.best[at][row[closer]] = found[closer]
+        self.label[at][row[closer]] = others.labels[column[closer]]
+
+    def _candidates(self, x: np.ndarray, y: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row of ``x``, row of ``y``) among which is each row's nearest, if it is within reach and nearer than the best so far."""
+        x, y = x - self.origin, y - self.origin
+        x_square, y_square = np.square(x).sum(axis=1), np.square(y).sum(axis=1)
+        rough = x @ (-2 * y.T)
+        rough += x_square[:, None]
+        rough += y_square
+        # More than twice what differences, products and sums can be off.
+        slack = (8 * x.shape[1] + 64) * np.finfo(float).eps * (x_square + y_square.max())
+        return np.nonzero(rough <= (np.minimum(np.minimum(rough.min(axis=1), best), self.limit) + slack)[:, None])
 
     def result(self) -> pa.RecordBatch:
         labels = pa.array(self.label.astype(np.int32), mask=np.isinf(self.best))
@@ -301,14 +332,17 @@ def clusters_of(
 def nearest_labels(df: DataFrame, space: Space, core: DataFrame, reach: float, name: str) -> DataFrame:
     """Every row with the label of its nearest core point (id, n, kind, point, label) within ``reach``, else -1.
 
-    Equal rows are searched once; a combination that holds many rows is joined by broadcast.
+    Equal rows are searched once; rows find their label again by a 128-bit digest of their
+    values, which sorts faster than the values, and a digest that many rows have is joined
+    by broadcast.
     """
     rows = df.withColumns({"_point": space.point(), "_kind": space.kind()})
-    distinct = rows.groupBy(F.col("_kind").alias("kind"), F.col("_point").alias("point")).agg(F.count("*").alias("n"))
+    rows = rows.withColumns(digest_halves(["_kind", "_point"])).drop("_kind", "_point")
+    values = df.select(space.kind().alias("kind"), space.point().alias("point"))
+    distinct = values.groupBy("kind", "point").agg(F.count("*").alias("n"))
     distinct = cut_lineage(distinct.withColumn("id", F.monotonically_increasing_id()))
     dims = widest(core, len(space.measured))
-    found = meet(distinct, core, space, reach, dims, lambda own: _Nearest(own, reach), "id bigint, label int")
-    table = distinct.join(found.filter("label IS NOT NULL"), "id").select(
-        F.col("kind").alias("_kind"), F.col("point").alias("_point"), "n", F.col("label").alias(name)
-    )
-    return join_by_key(rows, cut_lineage(table), ["_kind", "_point"], "n", "left").drop("_kind", "_point").fillna({name: -1})
+    found = meet(distinct, core, space, reach, dims, lambda own: _Nearest(own, reach), "id bigint, label int", PARTS_LABELLED_IN_ONE)
+    halves = [half.alias(column) for column, half in digest_halves(["kind", "point"]).items()]
+    table = distinct.join(found.filter("label IS NOT NULL"), "id").select(*halves, "n", F.col("label").alias(name))
+    return join_by_key(rows, cut_lineage(table), list(HALVES), "n", "left").drop(*HALVES).fillna({name: -1})

@@ -34,8 +34,8 @@ def transform(engineered: DataFrame) -> tuple[DataFrame, dict[str, tuple[float,
 
 
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored model table of the ledger."""
-    return cut_lineage(transform(engineer(ledger.transactions(spark, folder)))[0])
+    """The stored model table of the ledger; its fits pass over stored rows, too."""
+    return cut_lineage(transform(cut_lineage(engineer(ledger.transactions(spark, folder))))[0])
 
 
 def segment(model: DataFrame, keys: list[str], restarts: int = 10, threshold: float = 0.3, seed: int = 42) -> DataFrame:

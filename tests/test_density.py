@@ -12,6 +12,7 @@ from ledgerlens.operators import microclusters as micro
 from ledgerlens.plans.registry import MODEL_FEATURES
 from ledgerlens.plans.stages import prepared
 
+JOIN = density.join_by_key
 POINT = "id bigint, x double, y double, z double, flag tinyint, kind string"
 
 
@@ -149,6 +150,46 @@ def test_nearest_labels_equal_brute_force(spark, monkeypatch):
             assert r["label"] == (int(far.argmin()) % 11 if far.min() <= reach else -1)
 
 
+def test_nearest_kernel_measures_few_points_by_differences(monkeypatch):
+    def points(ids, values, labels):
+        made = density._Points(None)
+        made.ids, made.n, made.points, made.labels = ids, np.ones(len(ids)), values, labels
+        return made
+
+    rng = np.random.default_rng(5)
+    for scale, shift in ((1.0, 0.0), (1e-3, 1e6)):
+        own = rng.normal(shift, scale, (300, 7))
+        core = np.concatenate([rng.normal(shift, scale, (900, 7)), own[:50], own[:50]])  # ties: the smaller id
+        own[-1] = np.nan
+        reach = 2.0 * scale
+        far = density.squared_distances(own, core)
+        expected = [int(np.argmin(f)) if np.min(f) <= reach * reach else None for f in far]
+        with monkeypatch.context() as patched:
+            patched.setattr(density, "squared_distances", lambda *_: pytest.fail("all pairs are measured"))
+            kernel = density._Nearest(points(np.arange(len(own)), own, None), reach)
+            whole = points(np.arange(len(core)), core, np.arange(len(core)))
+            for start in range(0, len(core), 130):
+                kernel.add(whole.slice(start, 130))
+        assert kernel.result().column("label").to_pylist() == expected
+        assert 50 < sum(e is not None for e in expected) < len(own)
+
+
+def test_labels_come_back_by_digest_and_the_model_table_reads_the_ledger_once(spark, folder, monkeypatch):
+    from ledgerlens.plans import stages
+
+    joined = []
+    monkeypatch.setattr(density, "join_by_key", lambda rows, table, keys, *args: joined.append([rows.schema[k].dataType.simpleString() for k in keys]) or JOIN(rows, table, keys, *args))
+    core, where = as_points(spark, rows(300, seed=2))
+    data = [(0, 0.0, 1.0, 1.0, 0, "a"), (1, -0.0, 1.0, 1.0, 0, "a"), (2, float("nan"), 1.0, 1.0, 0, "a"), (3, None, 1.0, 1.0, None, None)]
+    density.nearest_labels(frame(spark, data), where, core.withColumn("label", F.lit(1)), 9.0, "label").collect()
+    assert joined[-1] == ["bigint", "bigint"]
+
+    fitted = []
+    monkeypatch.setattr(stages, "transform", lambda rows: fitted.append(rows) or (rows.limit(0), {}))
+    stages.prepared(spark, folder)
+    assert not any("orders.parquet" in f or "customer.parquet" in f for f in fitted[0].inputFiles())
+
+
 def test_reach_follows_the_data_and_small_tables_are_noise(spark):
     found = micro.build(frame(spark, rows(500)), ["x", "y", "z", "flag"], 0.3)
     _, reach = density.clusters_of(found, None, 5, 10)
