@@ -6,7 +6,7 @@ from ledgerlens.functions import fixed_values as fixed
 from ledgerlens.operators import cube as cubes
 from ledgerlens.operators import explorer
 from ledgerlens.operators.filters import Filters
-from ledgerlens.plans.registry import cube, query, rounded, rule_table, serving
+from ledgerlens.plans.registry import cube, query, rounded, rule_table, serving, serving_inputs
 from ledgerlens.plans.sql_views import CUBE, RULE_TABLE, SERVING, quoted
 
 COMBINED = Filters(jenis_tujuan=("Nasabah",), jenis_transaksi=("CASH_OUT", "TRANSFER"), segmen=(0, 1, 2), risk_score_min=1, risk_score_max=4)
@@ -329,5 +329,4 @@ _CHECK_COLUMNS = ("cluster_kmeans", "isFraud", "risk_score", "high_risk", "anoma
 
 
 def serving_table_check(spark, folder):
-    rows = serving(spark, folder)
-    return cubes.serving_table_check(rows, cubes.build_cube(rows), rule_table(spark, folder))
+    return cubes.serving_table_check(*serving_inputs(spark, folder))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import cube as cubes
 from ledgerlens.operators import risk, rule_views, rules
 from ledgerlens.operators.cleaning import standardize_schema
-from ledgerlens.session import tune
+from ledgerlens.session import cut_lineage, tune
 from ledgerlens.sources import ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,17 +47,27 @@ MODEL_FEATURES = (
 )
 
 
+def stored_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The scoring input, stored: fits pass over it a dozen times, and every pass of the derived one sends the customers through the driver."""
+    return cut_lineage(ledger.scoring_input(spark, folder))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return risk.score_ledger(ledger.scoring_input(spark, folder))
+    return risk.score_ledger(stored_ledger(spark, folder))
 
 
 FLAGS = ("isFraud", "high_risk", "flag_IQR", "flag_ZScore", "flag_IsoForest", "flag_HDBSCAN", "flag_BalanceMismatch")
 
 
+def served(scored_rows: DataFrame) -> DataFrame:
+    """Scored rows in the shape the explorer serves."""
+    table = standardize_schema(scored_rows)
+    return table.withColumns({c: F.col(c).cast("boolean") for c in FLAGS})
+
+
 def serving(spark: SparkSession, folder: str) -> DataFrame:
     """The scored ledger in the shape the explorer serves."""
-    table = standardize_schema(scored(spark, folder))
-    return table.withColumns({c: F.col(c).cast("boolean") for c in FLAGS})
+    return served(scored(spark, folder))
 
 
 def cube(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,14 +75,27 @@ def cube(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def baskets(spark: SparkSession, folder: str) -> DataFrame:
-    return rules.build_basket(ledger.scoring_input(spark, folder))
+    return rules.build_basket(stored_ledger(spark, folder))
 
 
 def collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return rules.collapse_baskets(baskets(spark, folder).select("items"))
 
 
+def presented_rules(spark: SparkSession, collapsed_baskets: DataFrame) -> DataFrame:
+    """Pinned rules plus the rules mined from these baskets, as presented."""
+    pool = rules.report_rules(rules.meaningful_rules(rules.mine(collapsed_baskets)))
+    return rule_views.rule_present(rule_views.merge_rule_pools(rule_views.pinned_rules(spark), pool))
+
+
 def rule_table(spark: SparkSession, folder: str) -> DataFrame:
     """Pinned rules plus the rules mined from the ledger, as presented."""
-    pool = rules.report_rules(rules.meaningful_rules(rules.mine(collapsed(spark, folder))))
-    return rule_views.rule_present(rule_views.merge_rule_pools(rule_views.pinned_rules(spark), pool))
+    return presented_rules(spark, collapsed(spark, folder))
+
+
+def serving_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The serving rows, their cube and the rule table, all from one stored ledger."""
+    rows = stored_ledger(spark, folder)
+    shown = served(risk.score_ledger(rows))
+    counted = rules.collapse_baskets(rules.build_basket(rows).select("items"))
+    return shown, cubes.build_cube(shown), presented_rules(spark, counted)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, risk, rules
-from ledgerlens.plans.registry import collapsed, cube, query, rounded, rule_table, scored, serving
+from ledgerlens.plans.registry import collapsed, query, rounded, scored, serving_inputs
 from ledgerlens.plans.cube_queries import _SERVING_AND_RULES
 from ledgerlens.plans.cleaning_queries import _LOGGED, SCALED
 from ledgerlens.plans.rule_queries import _SHOWN_SQL, shown
@@ -76,8 +76,7 @@ _COUNTS = _SERVING_AND_RULES + _CUBE_CTE
 
 
 def _serve(spark, folder):
-    rows = serving(spark, folder)
-    return writers.save_serving_tables(rows, cube(spark, folder), rule_table(spark, folder), scratch_path(spark, "serving"))
+    return writers.save_serving_tables(*serving_inputs(spark, folder), scratch_path(spark, "serving"))
 
 
 @query(
