@@ -40,6 +40,7 @@ LEAF = 32
 FIRST_PARTNERS = 1
 MORE_PARTNERS = 16
 PARITY_CELLS = 2048
+EARLIER_BLOCKS = 16
 
 
 @dataclass(frozen=True)
@@ -151,10 +152,17 @@ def parities(hashes: np.ndarray) -> np.ndarray:
 
 
 class CountTree:
-    """An R-tree over count vectors, bulk-loaded by halving along the widest coordinate."""
+    """An R-tree over count vectors, bulk-loaded by halving along the widest coordinate.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, groups: np.ndarray, parity: np.ndarray | None = None):
+    ``earlier`` are some blocks of each row, one a column; pairs with a common one below ``block`` are left to that block.
+    """
+
+    def __init__(
+        self, points: np.ndarray, sizes: np.ndarray, groups: np.ndarray, parity: np.ndarray | None = None,
+        earlier: np.ndarray | None = None, block: int = 0,
+    ):
         self.points, self.sizes, self.groups, self.parity = points, sizes, groups, parity
+        self.earlier, self.block = earlier, block
         self.root = self._load(np.arange(len(points)))
 
     def _load(self, rows: np.ndarray) -> tuple:
@@ -231,6 +239,10 @@ class CountTree:
             odd = np.bitwise_count(self.parity[a[x]] ^ self.parity[b[y]]).sum(axis=1, dtype=np.int64)
             near = like.may_differ(odd, sizes[x, y])
             x, y = x[near], y[near]
+        if self.earlier is not None:
+            of_a, of_b = self.earlier[a[x]], self.earlier[b[y]]
+            met = ((of_a[:, :, None] == of_b[:, None, :]) & (of_a < self.block)[:, :, None]).any(axis=(1, 2))
+            x, y = x[~met], y[~met]
         return a[x], b[y], bound[x, y] / sizes[x, y]
 
 
@@ -335,11 +347,21 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
     ``rows`` are (key, doc_id, component, size, point, parity); ``more`` says that a document
     has partners beyond its ``most`` best ones. Pairs that are no links are as many as the
     square of a block's documents, so parities drop them here and not behind a shuffle.
+    With the smallest keys of a document in ``earlier``, a pair comes from the first block it
+    shares among them and not from every one.
     """
+    if "earlier" not in rows.columns:
+        rows = rows.withColumn("earlier", F.array().cast("array<bigint>"))
     names = ["doc_id", "partner", "bound", "more"]
 
-    def best(ids: np.ndarray, component: np.ndarray, sizes: np.ndarray, points: list[bytes], parity: np.ndarray) -> pa.RecordBatch:
-        a, b, bound, more = CountTree(unpacked_points(points), sizes, component, parity).best(like, most)
+    def best(
+        key: int, ids: np.ndarray, component: np.ndarray, sizes: np.ndarray, points: list[bytes], parity: np.ndarray, earlier: pa.Array
+    ) -> pa.RecordBatch:
+        others = np.full((len(ids), EARLIER_BLOCKS), key)  # its own key stands for none
+        given = earlier.flatten().to_numpy()
+        lengths = earlier.value_lengths().to_numpy()
+        others[np.arange(EARLIER_BLOCKS) < lengths[:, None]] = given
+        a, b, bound, more = CountTree(unpacked_points(points), sizes, component, parity, others, key).best(like, most)
         return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(bound), pa.array(more)], names=names)
 
     def run(batches):
@@ -361,11 +383,13 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
         keys, ids, component, sizes = (rows.column(c).to_numpy() for c in ("key", "doc_id", "component", "size"))
         points = rows.column("point").to_pylist()
         parity = rows.column("parity").combine_chunks().flatten().to_numpy().view(_U).reshape(len(keys), -1)
+        earlier = rows.column("earlier").combine_chunks()
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-            yield best(ids[low:high], component[low:high], sizes[low:high], points[low:high], parity[low:high])
+            at = slice(low, high)
+            yield best(keys[low], ids[at], component[at], sizes[at], points[at], parity[at], earlier.slice(low, high - low))
 
-    dealt = rows.select("key", "doc_id", "component", "size", "point", "parity").repartition("key").sortWithinPartitions("key")
+    dealt = rows.select("key", "doc_id", "component", "size", "point", "parity", "earlier").repartition("key").sortWithinPartitions("key")
     partners = dealt.mapInArrow(run, "doc_id bigint, partner bigint, bound double, more boolean")
     partners = partners.groupBy("doc_id", "partner").agg(F.max("bound").alias("bound"), F.max("more").alias("more"))
     order = Window.partitionBy("doc_id").orderBy(F.desc("bound"), "partner")
@@ -379,7 +403,10 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
 
 
 def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, doc_id, component, size, point, parity) of the blocks that hold more than one component."""
+    """(key, doc_id, component, size, point, parity, earlier) of the blocks that hold more than one component.
+
+    ``earlier`` are the document's ``EARLIER_BLOCKS`` smallest keys of such blocks.
+    """
     placed = members.select("key", "doc_id").join(found, "doc_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
     blocks = placed.groupBy("key").agg(
@@ -392,7 +419,10 @@ def _open_rows(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFra
     # Blocks with the same members are one.
     apart = blocks.filter("low != high").groupBy("n", "first", "second").agg(F.min("key").alias("key"))
     rows = placed.join(apart.select("key"), "key", "left_semi")
-    return rows.join(sets.select("doc_id", "size", "point", "parity"), "doc_id")
+    kept = rows.groupBy("doc_id", "component").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    each = kept.join(sets.select("doc_id", "size", "point", "parity"), "doc_id")
+    earlier = F.slice("keys", 1, EARLIER_BLOCKS).alias("earlier")
+    return each.select(F.explode("keys").alias("key"), "doc_id", "component", "size", "point", "parity", earlier)
 
 
 def _in_blocks(keyed: DataFrame) -> DataFrame:

@@ -53,6 +53,39 @@ def test_unlinked_documents_of_a_block_leave_no_pairs(spark):
     assert {r["component_id"] for r in ngram_join.linked_groups(df, LIKE).collect()} == set(range(40))
 
 
+def test_a_pair_of_many_blocks_leaves_the_trees_once(spark):
+    rng = random.Random(11)
+    passage = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    # Linked neighbours of a row of documents; all of them share many blocks.
+    texts = [" ".join(passage + [f"v{k}" for k in range(4 * n, 4 * n + 40)]) for n in range(12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    members = ngram_join._in_blocks(ngram_join._keyed(df, df.select("doc_id"), LIKE)).cache()
+    sets = ngram_join._sets(df, df.select("doc_id"), LIKE).cache()
+    found = spark.createDataFrame([], "doc_id bigint, component bigint")
+    rows = ngram_join._open_rows(members, sets, found).cache()
+    assert rows.count() > 12 * ngram_join.EARLIER_BLOCKS
+
+    given = []
+    tree = ngram_join.CountTree
+    table = rows.toArrow().to_pydict()
+    for key in sorted(set(table["key"])):
+        at = [i for i, k in enumerate(table["key"]) if k == key]
+        others = np.full((len(at), ngram_join.EARLIER_BLOCKS), key)
+        for line, i in zip(others, at):
+            line[: len(table["earlier"][i])] = table["earlier"][i]
+        ids = np.array([table["doc_id"][i] for i in at])
+        points = ngram_join.unpacked_points([table["point"][i] for i in at])
+        words = np.array([table["parity"][i] for i in at]).view(np.uint64)
+        built = tree(points, np.array([table["size"][i] for i in at]), ids, words, others, key)
+        given += [tuple(sorted(p)) for a, b, _ in built.pairs(LIKE) for p in zip(ids[a].tolist(), ids[b].tolist())]
+    every = {tuple(sorted((r["u"], r["v"]))) for r in ngram_join._tree_pairs(rows.drop("earlier"), LIKE, 100).collect()}
+    once = {tuple(sorted((r["u"], r["v"]))) for r in ngram_join._tree_pairs(rows, LIKE, 100).collect()}
+    assert once == every
+    assert set(given) == every and len(every) >= 11
+    assert len(given) < 1.5 * len(every)
+    assert {r["component_id"] for r in ngram_join.linked_groups(df, LIKE).collect()} == {0}
+
+
 def test_shingling_holds_little_beside_the_texts():
     rng = random.Random(7)
     texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(300)).encode() for _ in range(1_200)]
