@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.components import connected_components
@@ -40,6 +40,7 @@ LEAF = 32
 FIRST_PARTNERS = 1
 MORE_PARTNERS = 16
 PARITY_CELLS = 2048
+MOST_PARITY_CELLS = 1 << 14
 EARLIER_BLOCKS = 16
 
 
@@ -59,9 +60,6 @@ class Likeness:
         """The most shingles that only one of two linked sets with these summed sizes can have."""
         return sizes * (self.share_of - self.share) // (self.share_of + self.share)
 
-    def may_link(self, differing: Column, sizes: Column) -> Column:
-        return differing * (self.share + self.share_of) <= sizes * (self.share_of - self.share)
-
     def may_differ(self, differing: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return differing * (self.share + self.share_of) <= sizes * (self.share_of - self.share)
 
@@ -144,13 +142,30 @@ def unpacked_points(data: list[bytes]) -> np.ndarray:
 def parities(hashes: np.ndarray) -> np.ndarray:
     """For each cell of a finer cut, whether a set has an odd number of shingles in it, as 64-bit words.
 
-    Two sets differ in at least as many shingles as their parities do in cells.
+    Two sets differ in at least as many shingles as their parities do in cells. Large sets have as
+    many cells as shingles, up to ``MOST_PARITY_CELLS``, since few cells let all pairs of long texts pass.
     """
-    cells = (hashes >> _U(64 - PARITY_CELLS.bit_length() + 1)).astype(np.int64)
-    odd = np.bincount(cells, minlength=PARITY_CELLS) % 2 == 1
+    count = min(max(PARITY_CELLS, 1 << len(hashes).bit_length()), MOST_PARITY_CELLS)
+    odd = np.bincount((hashes & _U(count - 1)).astype(np.int64), minlength=count) % 2 == 1
     return np.packbits(odd).view(np.int64)
 
 
+def folded(parity: pa.ListArray) -> np.ndarray:
+    """The parities of some sets over as many cells as the smallest of them has, one set a row.
+
+    A cell is named by the low bits of the hash, so the cells that a coarser cut holds together lie its count apart.
+    """
+    words, lengths = parity.flatten().to_numpy().view(_U), parity.value_lengths().to_numpy()
+    least = lengths.min()
+    starts = np.cumsum(lengths // least) - lengths // least
+    return np.bitwise_xor.reduceat(words.reshape(-1, least), starts, axis=0)
+
+
+def cells_apart(parity: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """In how many cells the parities in each row differ."""
+    return np.bitwise_count(parity ^ other).sum(axis=1, dtype=np.int64)
+
+
 class CountTree:
     """An R-tree over count vectors, bulk-loaded by halving along the widest coordinate.
 
@@ -236,8 +251,7 @@ class CountTree:
             keep = np.triu(keep, 1)
         x, y = np.nonzero(keep)
         if self.parity is not None:
-            odd = np.bitwise_count(self.parity[a[x]] ^ self.parity[b[y]]).sum(axis=1, dtype=np.int64)
-            near = like.may_differ(odd, sizes[x, y])
+            near = like.may_differ(cells_apart(self.parity[a[x]], self.parity[b[y]]), sizes[x, y])
             x, y = x[near], y[near]
         if self.earlier is not None:
             of_a, of_b = self.earlier[a[x]], self.earlier[b[y]]
@@ -323,8 +337,29 @@ def _joined(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The doc_id of every document of the pairs."""
+    return pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+
+
+def _near(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (u, v) that parities do not rule out, so that few texts travel."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            odd = [
+                cells_apart(*np.split(folded(pa.concat_arrays([u, v])), 2))[0]
+                for u, v in ((batch.column(4).slice(i, 1), batch.column(5).slice(i, 1)) for i in range(batch.num_rows))
+            ]
+            yield batch.select([0, 1]).filter(pa.array(like.may_differ(np.array(odd, np.int64), sizes), pa.bool_()))
+
+    joined = _joined(pairs, sets, "parity").select("u", "v", "u_size", "v_size", "u_parity", "v_parity")
+    return joined.mapInArrow(run, "u bigint, v bigint")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (u, v) whose sets are linked; parities first, so that few texts travel."""
+    """The pairs (u, v) whose sets are linked."""
 
     def run(batches):
         for batch in batches:
@@ -333,11 +368,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
             shared = np.array([len(np.intersect1d(u, v, assume_unique=True)) for u, v in zip(u_sets, v_sets)], np.int64)
             yield batch.select([0, 1]).filter(pa.array(like.linked(shared, sizes), pa.bool_()))
 
-    sizes = F.col("u_size") + F.col("v_size")
-    odd = F.zip_with("u_parity", "v_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
-    differing = F.aggregate(odd, F.lit(0).cast("long"), lambda n, x: n + x)
-    near = _joined(pairs, sets, "parity").filter(like.may_link(differing, sizes)).select("u", "v")
-    texts = _joined(near, sets, "packed").select("u", "v", "u_packed", "v_packed")
+    pairs = stored(pairs)
+    named = sets.join(stored(_ends(pairs)), "doc_id", "left_semi")  # broadcast where few are named, so that few texts travel
+    texts = _joined(pairs, named, "packed").select("u", "v", "u_packed", "v_packed")
     return texts.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
@@ -382,12 +415,13 @@ def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
             return
         keys, ids, component, sizes = (rows.column(c).to_numpy() for c in ("key", "doc_id", "component", "size"))
         points = rows.column("point").to_pylist()
-        parity = rows.column("parity").combine_chunks().flatten().to_numpy().view(_U).reshape(len(keys), -1)
+        parity = rows.column("parity").combine_chunks()
         earlier = rows.column("earlier").combine_chunks()
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
             at = slice(low, high)
-            yield best(keys[low], ids[at], component[at], sizes[at], points[at], parity[at], earlier.slice(low, high - low))
+            words, others = folded(parity.slice(low, high - low)), earlier.slice(low, high - low)
+            yield best(keys[low], ids[at], component[at], sizes[at], points[at], words, others)
 
     dealt = rows.select("key", "doc_id", "component", "size", "point", "parity", "earlier").repartition("key").sortWithinPartitions("key")
     partners = dealt.mapInArrow(run, "doc_id bigint, partner bigint, bound double, more boolean")
@@ -454,7 +488,8 @@ def linked_groups(df: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     # Chains: every document with the one that is before it in most of its blocks.
     before = members.filter("before IS NOT NULL").groupBy("doc_id", "before").count()
     chain = before.groupBy("doc_id").agg(F.max_by("before", F.struct("count", "before")).alias("before"))
-    links = stored(_verified(chain.select(F.col("before").alias("u"), F.col("doc_id").alias("v")), sets, like))
+    neighbours = chain.select(F.col("before").alias("u"), F.col("doc_id").alias("v"))
+    links = stored(_verified(_near(neighbours, sets, like), sets, like))
     if repeats:
         # A document of several sets holds their first documents together.
         own_sets = some.join(repeated, "doc_id", "left_semi").join(representatives.withColumnRenamed("doc_id", "u"), _SET_ID)
@@ -463,17 +498,24 @@ def linked_groups(df: DataFrame, like: Likeness = Likeness()) -> DataFrame:
 
     # Blocks that hold several components still: their trees. Every document tries its best
     # partners of other components; linked ones merge, and the next round tries more, until
-    # no document has partners left out.
-    most, left = FIRST_PARTNERS, True
-    while left:
+    # no document has partners left out. Both documents of a pair that was left out have
+    # partners left out, so only these go on; what was tried before and is apart is no link.
+    most, past = FIRST_PARTNERS, None
+    while True:
         tried = stored(_tree_pairs(_open_rows(members, sets, found), like, most))
-        found = _merge(found, stored(_verified(tried.select("u", "v"), sets, like)))
-        most, left = most * MORE_PARTNERS, not tried.filter("more").isEmpty()
-    joined = found
+        pairs = tried.select("u", "v")
+        new = pairs if past is None else pairs.join(past, ["u", "v"], "left_anti")
+        found = _merge(found, stored(_verified(new, sets, like)))
+        more = tried.filter("more")
+        if more.isEmpty():
+            break
+        going_on = stored(_ends(more))
+        members, sets = (stored(rows.join(going_on, "doc_id", "left_semi")) for rows in (members, sets))
+        most, past = most * MORE_PARTNERS, pairs if past is None else past.unionByName(pairs)
 
     same_set = some.groupBy(*_SET_ID).agg(F.min("doc_id").alias("first_doc"))
     out = known.select("doc_id", *_SET_ID).join(same_set, _SET_ID, "left")
-    out = out.join(joined.select(F.col("doc_id").alias("first_doc"), "component"), "first_doc", "left")
+    out = out.join(found.select(F.col("doc_id").alias("first_doc"), "component"), "first_doc", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first_doc", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"))
 

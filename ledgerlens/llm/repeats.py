@@ -34,6 +34,7 @@ GRAM = 32
 DIGIT = 50
 SURROUNDINGS_PER_TASK_GROUP = 20_000
 ROWS_PER_SORT = 2_000
+WINDOWS_AT_ONCE = 340_000
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93))
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -113,24 +114,34 @@ def repeated_windows(surroundings: np.ndarray, left: np.ndarray, right: np.ndarr
     reach = threshold - GRAM
     up, down = _powers(1 << 16)
     digits = [*range(0, threshold - DIGIT, DIGIT), threshold - DIGIT]
+    count = surroundings.shape[1] - DIGIT + 1
+    prints = np.empty((len(surroundings), count), _U)
+    # Some rows, then some columns at a time: a window only equals others of its column, and memory stays near that of the prints.
+    step = max(1, WINDOWS_AT_ONCE // (reach + 1))
     with np.errstate(over="ignore"):
-        terms = _BYTE[surroundings] * up[: surroundings.shape[1]]
-        sums = np.concatenate([np.zeros((len(terms), 1), _U), np.cumsum(terms, axis=1, dtype=_U)], axis=1)
-        count = surroundings.shape[1] - DIGIT + 1
-        prints = mix((sums[:, DIGIT:] - sums[:, :count]) * down[:count])
-        starts = np.arange(reach + 1)
-        fits = (starts >= reach - left[:, None]) & (starts + threshold <= reach + right[:, None])
-        row, column = np.nonzero(fits)
-        key = mix(group[row].astype(_U) * _U(reach + 1) + column.astype(_U))
-        for digit in digits:
-            key = mix(key ^ prints[row, column + digit])
-            order = np.argsort(key, kind="stable")  # numpy's stable integer sort is a radix sort where it can
-            same = key[order[1:]] == key[order[:-1]]
-            together = np.zeros(len(key), bool)
-            together[order[1:]] |= same
-            together[order[:-1]] |= same
-            row, column, key = row[together], column[together], key[together]
-    return row, column
+        for low in range(0, len(surroundings), step):
+            terms = _BYTE[surroundings[low : low + step]] * up[: surroundings.shape[1]]
+            sums = np.concatenate([np.zeros((len(terms), 1), _U), np.cumsum(terms, axis=1, dtype=_U)], axis=1)
+            prints[low : low + step] = mix((sums[:, DIGIT:] - sums[:, :count]) * down[:count])
+        rows, columns = [], []
+        step = max(1, WINDOWS_AT_ONCE // max(1, len(surroundings)))
+        for low in range(0, reach + 1, step):
+            starts = np.arange(low, min(low + step, reach + 1))
+            fits = (starts >= reach - left[:, None]) & (starts + threshold <= reach + right[:, None])
+            row, column = np.nonzero(fits)
+            column += low
+            key = mix(group[row].astype(_U) * _U(reach + 1) + column.astype(_U))
+            for digit in digits:
+                key = mix(key ^ prints[row, column + digit])
+                order = np.argsort(key, kind="stable")  # numpy's stable integer sort is a radix sort where it can
+                same = key[order[1:]] == key[order[:-1]]
+                together = np.zeros(len(key), bool)
+                together[order[1:]] |= same
+                together[order[:-1]] |= same
+                row, column, key = row[together], column[together], key[together]
+            rows.append(row)
+            columns.append(column)
+    return np.concatenate(rows), np.concatenate(columns)
 
 
 def _runs(row: np.ndarray, column: np.ndarray, rows: int, reach: int, threshold: int) -> list[list[dict]]:

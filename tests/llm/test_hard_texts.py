@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -88,3 +89,20 @@ def test_the_middle_of_an_endless_word_counts():
     assert model.score(ends + "aaabbbccc" * 200 + ends) > model.score(ends + "xyzzyxyxz" * 200 + ends) + 0.1
     model.score("w" * 100)
     assert max(map(len, model._known), default=0) <= quality.LONGEST_REMEMBERED
+
+
+def test_a_large_group_of_surroundings_is_sorted_in_little_memory():
+    rng = np.random.default_rng(17)
+    count, reach, threshold = 6_000, repeats.THRESHOLD - repeats.GRAM, repeats.THRESHOLD
+    around = rng.integers(97, 101, (count, reach + threshold), dtype=np.uint8)
+    around[1::2, 60:330] = around[:-1:2, 60:330]  # rows equal in pairs, over 270 columns
+    around[:, [59, 330]] = 97 + np.arange(count)[:, None] % 2
+    left, right, group = np.full(count, reach), np.full(count, threshold), np.zeros(count, np.int64)
+    left[:2] = 90
+    tracemalloc.start()
+    row, column = repeats.repeated_windows(around, left, right, group, threshold)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70 << 20
+    expected = {(r, c) for r in range(count) for c in range(60, 330 - threshold + 1) if r > 1 or c >= reach - 90}
+    assert set(zip(row.tolist(), column.tolist())) == expected

@@ -4,6 +4,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import common, ngram_join
@@ -86,6 +87,44 @@ def test_a_pair_of_many_blocks_leaves_the_trees_once(spark):
     assert {r["component_id"] for r in ngram_join.linked_groups(df, LIKE).collect()} == {0}
 
 
+def test_parities_of_long_texts_drop_pairs_too():
+    rng = np.random.default_rng(9)
+    passage = rng.integers(0, 2**63, 3_600, dtype=np.uint64)
+    long = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, own, dtype=np.uint64)])) for own in [2_400] * 11 + [200]]
+    given = [parities(s) for s in long]
+    assert len(given[0]) > len(given[-1])
+    words = ngram_join.folded(pa.array(given, pa.list_(pa.int64())))
+    points, sizes = np.stack([point(s) for s in long]).astype(np.int32), np.array([len(s) for s in long])
+    tree = [CountTree(points, sizes, np.arange(12), w) for w in (None, words)]
+    plain, fewer = (sum(len(a) for a, _, _ in t.pairs(LIKE)) for t in tree)
+    assert plain >= 55 and fewer == 0
+    for i in range(12):
+        for j in range(i):
+            apart = len(np.setxor1d(long[i], long[j]))
+            assert ngram_join.cells_apart(words[i : i + 1], words[j : j + 1])[0] <= apart
+
+
+def test_no_pair_is_verified_in_two_rounds(spark, monkeypatch):
+    rng = random.Random(13)
+    passage = [f"w{rng.randrange(10**7)}" for _ in range(1_765)]
+    # Just not linked, which the parities of so many shingles do not tell; two are linked.
+    texts = [" ".join(passage + [f"v{n}x{k}" for k in range(235)]) for n in range(20)]
+    texts.append(texts[4] + " one more")
+    seen, verified = [], ngram_join._verified
+
+    def recorded(pairs, sets, like):
+        seen.append({(r["u"], r["v"]) for r in pairs.collect()})
+        return verified(pairs, sets, like)
+
+    monkeypatch.setattr(ngram_join, "_verified", recorded)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.linked_groups(df, LIKE).collect()}
+    assert found == {n: 4 if n == 20 else n for n in range(21)}
+    rounds = seen[1:]
+    assert len(rounds) > 2
+    assert sum(map(len, rounds)) == len(set().union(*rounds))
+
+
 def test_shingling_holds_little_beside_the_texts():
     rng = random.Random(7)
     texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(300)).encode() for _ in range(1_200)]
