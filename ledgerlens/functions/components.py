@@ -15,36 +15,45 @@ from ledgerlens.functions.skew import join_by_key
 from ledgerlens.session import cut_lineage
 
 
-def _smallest_neighbour(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("size"))
+CROWDED = 2
 
 
 def _large_star(edges: DataFrame, count: int) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    linked = join_by_key(both, _smallest_neighbour(both), ["u"], "size", "inner", total=2 * count)
-    return linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    """Every larger end with the smallest node next to its smaller end; one edge for each."""
+    both = edges.select(F.inline(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")))))
+    smallest = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"), F.count("*").alias("size"))
+    return join_by_key(edges, smallest, ["v"], "size", "inner", total=2 * count).select("u", F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame, count: int) -> DataFrame:
-    downward = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()
-    linked = join_by_key(downward, _smallest_neighbour(downward), ["u"], "size", "inner", total=2 * count)
-    links = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
-    return linked.select(F.inline(links)).filter("u != v").distinct()
+    """A node and its smaller neighbours with the smallest of them: the edge to that one stays, the others move; one edge for each."""
+    smallest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size"))
+    linked = join_by_key(edges, smallest, ["u"], "size", "inner", total=2 * count)
+    return linked.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    """Edges, a digest of them, and about how many larger ends they have."""
+    return tuple(
+        edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.approx_count_distinct("u")).first()
+    )
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """Smallest node of every node's component, for the nodes of an edge list (``u``, ``v``)."""
-    stars = cut_lineage(edges.select("u", "v").filter("u != v").distinct())
+    """Smallest node of every node's component, for the nodes of an edge list (``u``, ``v``).
+
+    A round gives one edge for each it gets, so repeated edges add no rows and need not be
+    sought after every step; they are dropped where they are most of the edges.
+    """
+    downward = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    stars = cut_lineage(downward)
     seen = _fingerprint(stars)
     while True:
-        stars = cut_lineage(_small_star(_large_star(stars, seen[0]), seen[0]))
+        nearer = _small_star(_large_star(stars, seen[0]), seen[0])
+        stars = cut_lineage(nearer.distinct() if seen[0] > CROWDED * seen[2] else nearer)
         now = _fingerprint(stars)
         if now == seen:
             break
         seen = now
-    roots = stars.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    named = F.array(*(F.struct(F.col(end).alias("node"), F.col("v").alias("component")) for end in ("u", "v")))
+    return stars.select(F.inline(named)).distinct()

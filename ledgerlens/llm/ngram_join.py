@@ -338,8 +338,8 @@ def _joined(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    """The doc_id of every document of the pairs."""
-    return pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    """The doc_id of every document of the pairs, once for each of them."""
+    return pairs.select(F.explode(F.array("u", "v")).alias("doc_id"))
 
 
 def _near(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
@@ -359,7 +359,7 @@ def _near(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (u, v) whose sets are linked."""
+    """The pairs (u, v) whose sets are linked, once for each two sets."""
 
     def run(batches):
         for batch in batches:
@@ -371,7 +371,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     pairs = stored(pairs)
     named = sets.join(stored(_ends(pairs)), "doc_id", "left_semi")  # broadcast where few are named, so that few texts travel
     texts = _joined(pairs, named, "packed").select("u", "v", "u_packed", "v_packed")
-    return texts.mapInArrow(run, "u bigint, v bigint").distinct()
+    return texts.mapInArrow(run, "u bigint, v bigint")
 
 
 def _tree_pairs(rows: DataFrame, like: Likeness, most: int) -> DataFrame:
